@@ -42,7 +42,11 @@ def parse_lexicons(df: DataFrame, column: str = "document", *kept: str) -> DataF
         F.filter(mapped, lambda e: e.value.isNotNull()),
         lambda e, i: F.struct(e.key.alias("term"), e.value.category, e.value.weight, i.alias("pos")),
     )
-    entries = F.when(is_listed, from_list).otherwise(from_map)
+    entries = (
+        F.when(is_listed, from_list)
+        .when(mapped.isNotNull(), from_map)
+        .otherwise(F.raise_error(F.lit("Unsupported custom lexicon format.")))
+    )
     return (
         df.select(*kept, F.inline(entries).alias("term", "category", "weight", "pos"))
         .where("term <> ''")
