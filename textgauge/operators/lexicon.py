@@ -106,7 +106,10 @@ class Lexicon:
         return Lexicon([*own, *terms], self.case_sensitive)
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([(e.term, e.category, e.weight, e.pos) for e in self.entries], FRAME_SCHEMA)
+        """The entries as a table, made from constants without a Python worker."""
+        if not self.entries:
+            return spark.createDataFrame([], FRAME_SCHEMA)
+        return spark.range(1, numPartitions=1).select(F.inline(self.literal())).select("term", "category", "weight", "pos")
 
     def plain_keys(self) -> list[str]:
         return sorted({e.key for e in self.entries if e.plain})
