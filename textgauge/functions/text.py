@@ -13,6 +13,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from textgauge.functions.constants import array_of
+
 WORD = r"[\p{L}\p{N}_]"
 BOUNDARY = rf"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
 
@@ -69,7 +71,7 @@ def strip_terms(low: Column, terms: Sequence[str]) -> Column:
     if not terms:
         return low
     return F.aggregate(
-        F.lit([term.lower() for term in terms]), low, lambda text, term: F.replace(text, term, F.lit(" "))
+        array_of(term.lower() for term in terms), low, lambda text, term: F.replace(text, term, F.lit(" "))
     )
 
 

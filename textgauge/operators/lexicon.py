@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textgauge.functions.constants import rows_of
 from textgauge.functions.text import is_plain_word, term_pattern
 
 # The built-in terms with category and weight. Their order breaks
@@ -120,18 +121,8 @@ class Lexicon:
     def literal(self, entries: Iterable[Entry] | None = None) -> Column:
         """The entries as one constant array of structs."""
         chosen = self.entries if entries is None else list(entries)
-        structs = [
-            F.struct(
-                F.lit(e.term).alias("term"),
-                F.lit(e.key).alias("key"),
-                F.lit(e.category).alias("category"),
-                F.lit(e.weight).alias("weight"),
-                F.lit(e.pos).alias("pos"),
-                F.lit(term_pattern(e.key)).alias("pattern"),
-            )
-            for e in chosen
-        ]
-        return F.array(*structs)
+        rows = [(e.term, e.key, e.category, e.weight, e.pos, term_pattern(e.key)) for e in chosen]
+        return rows_of(rows, "term", "key", "category", "weight", "pos", "pattern")
 
 
 def overlay_frames(base: DataFrame, custom: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textgauge.functions.constants import rows_of
 from textgauge.functions.hashing import seeded_key
 from textgauge.functions.templates import field_lookup, fields_of, render
 from textgauge.session import once
@@ -64,9 +65,9 @@ def permutations(
     levels: Sequence[str] = LEVELS,
 ) -> DataFrame:
     """Each topic row once per style, audience and level, in list order."""
-    combos = [F.struct(*[F.lit(c[k]).alias(k) for k in LISTED]) for c in list_product(styles, audiences, levels)]
+    combos = rows_of([[c[k] for k in LISTED] for c in list_product(styles, audiences, levels)], *LISTED)
     kept = [c for c in df.columns if c not in LISTED]
-    return usable_topics(df).select(*kept, F.posexplode(F.array(*combos)).alias("permutation", "combo")).select(
+    return usable_topics(df).select(*kept, F.posexplode(combos).alias("permutation", "combo")).select(
         *kept, "permutation", "combo.*"
     )
 
@@ -76,12 +77,9 @@ def fill_templates(
 ) -> DataFrame:
     """Each permutation once per template, with the filled prompt."""
     value_of = field_lookup({c: F.col(c) for c in permuted.columns} | {"topic": F.col(topic_col)})
-    numbered = [F.struct(F.lit(i).alias("template"), F.lit(t).alias("source_template")) for i, t in enumerate(templates)]
+    numbered = rows_of(enumerate(templates), "template", "source_template")
     prompt = choose_template(F.col("template"), [render(t, value_of) for t in templates])
-    return (
-        permuted.select("*", F.inline(F.array(*numbered)))
-        .select("*", prompt.alias("prompt"))
-    )
+    return permuted.select("*", F.inline(numbered)).select("*", prompt.alias("prompt"))
 
 
 def choose_template(index: Column, rendered: Sequence[Column]) -> Column:
@@ -131,12 +129,8 @@ def generate(
     pairs = combinations(templates, list_product(styles, audiences, levels), dedupe, limit)
     if not pairs:
         raise ValueError("templates and lists must not be empty")
-    combos = F.array(
-        *[
-            F.struct(*[F.lit(values[k]).alias(k) for k in LISTED], F.lit(i).alias("template"),
-                     F.lit(templates[i]).alias("source_template"))
-            for values, i in pairs
-        ]
+    combos = rows_of(
+        [[*(values[k] for k in LISTED), i, templates[i]] for values, i in pairs], *LISTED, "template", "source_template"
     )
     topics = usable_topics(df, topic_col)
     row_fields = {c: F.col(c) for c in topics.columns} | {"topic": F.col(topic_col)}
@@ -175,9 +169,9 @@ def seeded_order(df: DataFrame, seed: int, *key_cols: str) -> DataFrame:
 
 def role_templates(roles: DataFrame, role_col: str, templates: Sequence[str]) -> DataFrame:
     """Every role in every system-prompt template."""
-    numbered = [F.struct(F.lit(i).alias("template"), F.lit(t).alias("source_template")) for i, t in enumerate(templates)]
+    numbered = rows_of(enumerate(templates), "template", "source_template")
     value_of = field_lookup({"role": F.col("role")})
-    return roles.select(F.col(role_col).alias("role"), F.inline(F.array(*numbered))).select(
+    return roles.select(F.col(role_col).alias("role"), F.inline(numbered)).select(
         "role", "template", choose_template(F.col("template"), [render(t, value_of) for t in templates]).alias("prompt")
     )
 
@@ -201,9 +195,5 @@ def parameter_grid(
     max_tokens: Sequence[int] = MAX_TOKENS,
 ) -> DataFrame:
     """Each row of measured scores once per temperature and token limit."""
-    cells = [
-        F.struct(F.lit(float(t)).alias("temperature"), F.lit(int(m)).alias("max_tokens"))
-        for t in temperatures
-        for m in max_tokens
-    ]
-    return scores.select(F.inline(F.array(*cells)), "*")
+    cells = [(float(t), int(m)) for t in temperatures for m in max_tokens]
+    return scores.select(F.inline(rows_of(cells, "temperature", "max_tokens")), "*")

@@ -8,25 +8,30 @@ very long text or one very frequent term therefore cannot become a hot key.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textgauge.functions.constants import array_of, rows_of, sql_list, sql_value
 from textgauge.functions.numbers import rate
-from textgauge.functions.text import occurrence_count, strip_terms, words
+from textgauge.functions.text import WORD, occurrence_count, strip_terms
 from textgauge.operators.lexicon import CATEGORY_CAPS, DENY_CATEGORY, DENY_WEIGHT, Lexicon
 from textgauge.session import once
 
 MIN_SCORE = 0.5
 
+OTHERS_TYPE = "array<struct<pos:int,category:string,weight:double,n:bigint>>"
+SUMS_TYPE = "array<struct<category:string,hits:bigint,total:double>>"
+
 
 def denied_terms(text: Column, denylist: Sequence[str]) -> Column:
     """The denylist terms that occur in a text, ignoring case; one each."""
     if not denylist:
-        return F.array().cast("array<string>")
+        return array_of([])
     low = F.lower(text)
-    return F.filter(F.lit(list(denylist)), lambda term: F.contains(low, F.lower(term)))
+    listed = rows_of([(term, term.lower()) for term in denylist], "term", "key")
+    return F.transform(F.filter(listed, lambda d: F.contains(low, d.key)), lambda d: d.term)
 
 
 def find_terms(
@@ -42,10 +47,13 @@ def find_terms(
     whose cost does not grow with the lexicon. Phrases and terms with
     punctuation are counted one by one, after a cheap substring test.
     """
-    low = strip_terms(F.lower(F.col(text_col)), allowlist)
+    no_others = F.expr(f"CAST(array() AS {OTHERS_TYPE})")
+    token_hits, other_hits = array_of([]), no_others
     keys = lexicon.plain_keys()
+    if keys:
+        tokens = f"regexp_extract_all(_low, {sql_value(WORD + '+')}, 0)"
+        token_hits = F.expr(f"filter({tokens}, w -> w IN ({sql_list(keys)}))")
     others = [e for e in lexicon.entries if not e.plain]
-    token_hits = F.filter(words(F.col("_low")), is_one_of(keys)) if keys else F.array().cast("array<string>")
     if others:
         counted = F.transform(
             F.filter(lexicon.literal(others), lambda e: F.contains(F.col("_low"), e.key)),
@@ -57,62 +65,55 @@ def find_terms(
             ),
         )
         other_hits = F.filter(counted, lambda hit: hit.n > 0)
-    else:
-        other_hits = F.array().cast("array<struct<pos:int,category:string,weight:double,n:bigint>>")
-    nothing = F.array()
-    lowered = once(df, _low=low)
-    found = once(
+    lowered = once(df, _low=strip_terms(F.lower(F.col(text_col)), allowlist))
+    return once(
         lowered,
-        _words=F.coalesce(token_hits, nothing.cast("array<string>")),
-        _others=F.coalesce(other_hits, nothing.cast("array<struct<pos:int,category:string,weight:double,n:bigint>>")),
-        _denied=F.coalesce(denied_terms(F.col(text_col), denylist), nothing.cast("array<string>")),
-    )
-    return found.drop("_low")
-
-
-def is_one_of(keys: Sequence[str]) -> Callable[[Column], Column]:
-    return lambda word: word.isin(list(keys))
+        _words=F.coalesce(token_hits, array_of([])),
+        _others=F.coalesce(other_hits, no_others),
+        _denied=F.coalesce(denied_terms(F.col(text_col), denylist), array_of([])),
+    ).drop("_low")
 
 
-def has_category(category: str) -> Callable[[Column], Column]:
-    return lambda hit: hit.category == F.lit(category)
+def category_sums(lexicon: Lexicon, denylist: Sequence[str] = ()) -> Column:
+    """Per category with hits, a row's hit count and uncapped weight sum.
 
-
-def category_totals(lexicon: Lexicon, denylist: Sequence[str] = ()) -> dict[str, tuple[Column, Column]]:
-    """Per category, the hit count and the uncapped weight sum of a row."""
-    # Terms of equal category and weight are counted together. Terms that differ
-    # only in case share a key and each add their own weight.
-    classes: dict[str, dict[float, list[list[str]]]] = defaultdict(lambda: defaultdict(list))
+    Plain words of equal category and weight are counted together by one set
+    look-up per token, so the work does not grow with the lexicon.
+    """
+    # Terms that differ only in case share a key and each add their own weight:
+    # a key met again goes to the next round.
+    classes: dict[tuple[str, float], list[list[str]]] = defaultdict(list)
     for entry in lexicon.entries:
         if not entry.plain:
             continue
-        rounds = classes[entry.category][entry.weight]
-        for keys in rounds:
-            if entry.key not in keys:
-                keys.append(entry.key)
-                break
-        else:
+        rounds = classes[entry.category, entry.weight]
+        free = next((keys for keys in rounds if entry.key not in keys), None)
+        if free is None:
             rounds.append([entry.key])
+        else:
+            free.append(entry.key)
 
-    categories = set(lexicon.categories())
+    parts: dict[str, list[tuple[str, str]]] = defaultdict(list)
+    for (category, weight), rounds in classes.items():
+        for keys in rounds:
+            hits = f"CAST(size(filter(_words, w -> w IN ({sql_list(keys)}))) AS BIGINT)"
+            parts[category].append((hits, f"{hits} * {sql_value(weight)}"))
+    for category in {e.category for e in lexicon.entries if not e.plain}:
+        own = f"filter(_others, h -> h.category = {sql_value(category)})"
+        parts[category].append(
+            (f"aggregate({own}, 0L, (t, h) -> t + h.n)", f"aggregate({own}, 0D, (t, h) -> t + h.n * h.weight)")
+        )
     if denylist:
-        categories.add(DENY_CATEGORY)
-    totals = {}
-    for category in sorted(categories):
-        count, weight = F.lit(0).cast("long"), F.lit(0.0)
-        for class_weight, rounds in classes[category].items():
-            for keys in rounds:
-                hits = F.size(F.filter("_words", is_one_of(keys))).cast("long")
-                count, weight = count + hits, weight + hits * F.lit(class_weight)
-        if any(e.category == category and not e.plain for e in lexicon.entries):
-            of_category = F.filter("_others", has_category(category))
-            count = count + F.aggregate(of_category, F.lit(0).cast("long"), lambda total, hit: total + hit.n)
-            weight = weight + F.aggregate(of_category, F.lit(0.0), lambda total, hit: total + hit.n * hit.weight)
-        if category == DENY_CATEGORY:
-            denied = F.size("_denied").cast("long")
-            count, weight = count + denied, weight + denied * F.lit(DENY_WEIGHT)
-        totals[category] = (count, weight)
-    return totals
+        denied = "CAST(size(_denied) AS BIGINT)"
+        parts[DENY_CATEGORY].append((denied, f"{denied} * {sql_value(DENY_WEIGHT)}"))
+    if not parts:
+        return F.expr(f"CAST(array() AS {SUMS_TYPE})")
+    structs = [
+        f"struct({sql_value(category)} AS category, {' + '.join(n for n, _ in both)} AS hits, "
+        f"{' + '.join(w for _, w in both)} AS total)"
+        for category, both in sorted(parts.items())
+    ]
+    return F.expr(f"filter(array({', '.join(structs)}), s -> s.hits > 0)")
 
 
 def score_rows(
@@ -129,34 +130,18 @@ def score_rows(
     Rows without hits stay, with an empty map and score 0.
     """
     found = find_terms(df, lexicon, text_col, allowlist, denylist)
-    totals = category_totals(lexicon, denylist)
-    sums = F.filter(
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("category"), n.alias("hits"), w.alias("total"))
-                for c, (n, w) in totals.items()
-            ]
-        )
-        if totals
-        else F.array().cast("array<struct<category:string,hits:bigint,total:double>>"),
-        lambda s: s.hits > 0,
-    )
-    summed = once(found, _sums=sums)
-
-    def capped(s: Column) -> Column:
-        if not caps:
-            return s.total
-        cap = F.lit(None).cast("double")
-        for category in totals:
-            if category in caps:
-                cap = F.when(s.category == category, F.lit(float(caps[category]))).otherwise(cap)
-        return F.least(s.total, cap)  # ``least`` skips nulls: no cap, no limit
+    summed = once(found, _sums=category_sums(lexicon, denylist))
 
+    total = "s.total"
+    if caps:
+        whens = " ".join(f"WHEN {sql_value(c)} THEN {sql_value(float(cap))}" for c, cap in caps.items())
+        # ``least`` skips nulls, so a category without a cap has no limit.
+        total = f"least(s.total, CASE s.category {whens} END)"
     return summed.select(
         *df.columns,
-        F.map_from_entries(F.transform("_sums", lambda s: F.struct(s.category, s.total))).alias("per_category"),
-        F.aggregate("_sums", F.lit(0).cast("long"), lambda n, s: n + s.hits).alias("hit_count"),
-        F.aggregate("_sums", F.lit(0.0), lambda t, s: t + capped(s)).alias("score"),
+        F.expr("map_from_entries(transform(_sums, s -> struct(s.category, s.total)))").alias("per_category"),
+        F.expr("aggregate(_sums, 0L, (n, s) -> n + s.hits)").alias("hit_count"),
+        F.expr(f"aggregate(_sums, 0D, (t, s) -> t + {total})").alias("score"),
     ).withColumn("flagged", F.col("score") >= F.lit(float(min_score)))
 
 
@@ -237,12 +222,7 @@ def term_counts(
     names += [("denied", term, term, len(lexicon.entries) + i) for i, term in enumerate(denylist)]
     if not names:
         return sums.select(F.lit("").alias("term"), "n", F.struct("first_id", F.lit(0).alias("term_pos")).alias("first")).limit(0)
-    lookup = F.array(
-        *[
-            F.struct(F.lit(k).alias("kind"), F.lit(key).alias("key"), F.lit(term).alias("term"), F.lit(pos).alias("pos"))
-            for k, key, term, pos in names
-        ]
-    )
+    lookup = rows_of(names, "kind", "key", "term", "pos")
     own = F.filter(lookup, lambda e: (e.kind == F.col("kind")) & (e.key == F.col("key")))
     return (
         sums.select("n", "first_id", F.inline(F.transform(own, lambda e: F.struct(e.term, e.pos))).alias("term", "term_pos"))
