@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from textgauge.functions.constants import array_of
 
 WORD = r"[\p{L}\p{N}_]"
-BOUNDARY = rf"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
+# In a look-behind, Java steps back by UTF-16 units unless the pattern allows for
+# wider characters. The optional noncharacter does that and matches no real text.
+BEHIND = rf"\x{{10FFFF}}?{WORD}"
+BOUNDARY = rf"(?:(?<={BEHIND})(?!{WORD})|(?<!{BEHIND})(?={WORD}))"
 
 # Width of the blocks in ``running_sum``; about the cube root of a million.
 BLOCK = 128
@@ -49,7 +52,7 @@ def term_pattern(key: str) -> str:
         return literal
     if is_plain_word(key):
         # The literal comes first so that the look-around runs on candidates only.
-        return f"{literal}(?!{WORD})(?<!{WORD}{literal})"
+        return f"{literal}(?!{WORD})(?<!{BEHIND}{literal})"
     return f"{BOUNDARY}{literal}{BOUNDARY}"
 
 
