@@ -133,6 +133,35 @@ def context(text: Column, start: Column, end: Column, window: int) -> Column:
     return F.substr(text, left + 1, F.greatest(right - left, F.lit(0)))
 
 
+def term_frequencies(terms: Column) -> Column:
+    """``array<struct<term, tf>>`` of one text, counted by run lengths.
+
+    A text's terms are all in its row, so they need no shuffle by (row, term):
+    after sorting, a term's count is the distance between two run starts.
+    """
+
+    def count(ordered: Column) -> Column:
+        positions = F.sequence(F.lit(0), F.greatest(F.size(ordered) - 1, F.lit(0)))
+
+        def starts_run(i: Column) -> Column:
+            return (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1))
+
+        def pairs(starts: Column) -> Column:
+            return F.transform(
+                starts,
+                lambda s, k: F.struct(
+                    F.get(ordered, s).alias("term"),
+                    (F.coalesce(F.get(starts, k + 1), F.size(ordered)) - s).alias("tf"),
+                ),
+            )
+
+        return F.when(F.size(ordered) > 0, let(F.filter(positions, starts_run), pairs)).otherwise(
+            F.array().cast("array<struct<term:string,tf:int>>")
+        )
+
+    return let(F.sort_array(terms), count)
+
+
 def contains_any(low: Column, needles: Sequence[str]) -> Column:
     """True when at least one literal substring occurs."""
     found = F.lit(False)

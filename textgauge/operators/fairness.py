@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textgauge.functions.numbers import clip
+from textgauge.session import small_side
 
 # The naive flag terms.
 FLAG_TERMS = ("pregnant", "age 62", "member of X group", "religion")
@@ -17,6 +18,9 @@ RATE_FLOOR = 1e-9
 WEIGHT_RATE_FLOOR = 1e-6
 WEIGHT_RANGE = (0.5, 2.0)
 
+# A table of weights is broadcast only when it has at most this many rows.
+MAX_BROADCAST_GROUPS = 100_000
+
 
 def group_sums(df: DataFrame, y_col: str, group_col: str) -> DataFrame:
     """Sum and count of outcomes per group, null group included."""
@@ -76,12 +80,16 @@ def reweighting(df: DataFrame, y_col: str, group_col: str) -> DataFrame:
     target = sums.select(F.try_divide(F.sum("sum_y"), F.sum("n")).alias("target")).scalar()
     share = F.try_divide("sum_y", "n")
     weight = clip(target / F.greatest(share, F.lit(WEIGHT_RATE_FLOOR)), *WEIGHT_RANGE)
-    return sums.where(F.col("group").isNotNull()).select("group", weight.alias("weight"))
+    # Filtering on the weight keeps the filter above the aggregate, which the
+    # target can then share.
+    named = F.when(F.col("group").isNotNull(), weight).alias("weight")
+    return sums.select("group", named).where("weight is not null")
 
 
 def attach_weights(df: DataFrame, weights: DataFrame, group_col: str) -> DataFrame:
     """Each row with the weight of its group, null for an unknown group."""
     named = weights.select(F.col("group").alias("_group"), "weight")
+    named = small_side(named, MAX_BROADCAST_GROUPS, "weights")
     return df.join(named, F.col(group_col) == F.col("_group"), "left").drop("_group")
 
 

@@ -63,6 +63,20 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fits(df: DataFrame, bound: int) -> bool:
+    """Whether a table has at most ``bound`` rows; reads one row more at most."""
+    return df.limit(bound + 1).count() <= bound
+
+
+def small_side(df: DataFrame, bound: int, label: str) -> DataFrame:
+    """A join side that is broadcast when it has at most ``bound`` rows.
+
+    The side is written first, so that counting does not compute it again.
+    """
+    written = materialise(df, label)
+    return F.broadcast(written) if fits(written, bound) else written
+
+
 def once(df: DataFrame, **columns) -> DataFrame:
     """Append columns that are evaluated exactly once per row.
 
