@@ -210,3 +210,13 @@ def test_large_lexicon_join_equals_small(spark):
         for term, *_ in python_hits(text, TERMS):
             expected[i, term] = expected.get((i, term), 0) + 1
     assert {(r.id, r.term): r.n for r in small} == expected
+
+
+def test_scores_from_hit_table_equal_scores_in_rows(spark):
+    texts = EDGE_TEXTS + random_texts(60, seed=9) + [None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    lexicon, options = Lexicon(TERMS), {"caps": {"gender": 1.5, "rep": 3.0}, "min_score": 2.0}
+    hits = matching.match_terms(df, lexicon.frame(spark), "id", allowlist=["she"])
+    by_join = scoring.score_hits(df, hits, "id", **options).orderBy("id").collect()
+    in_rows = scoring.score_rows(df, lexicon, allowlist=["she"], **options).orderBy("id").collect()
+    assert by_join == in_rows

@@ -81,6 +81,9 @@ def test_term_lists(spark, tmp_path):
     assert [r.value for r in configs.read_terms(spark, path).collect()] == ["one", "two words"]
     assert configs.read_terms(spark, str(tmp_path / "none.txt")).count() == 0
     assert configs.read_terms(spark, None).count() == 0
+    assert configs.bounded_list(configs.read_terms(spark, path), "value") == ["one", "two words"]
+    with pytest.raises(ValueError, match="more than 1"):
+        configs.bounded_list(configs.read_terms(spark, path), "value", bound=1)
 
 
 def test_templates(spark, tmp_path):

@@ -145,6 +145,38 @@ def score_rows(
     ).withColumn("flagged", F.col("score") >= F.lit(float(min_score)))
 
 
+def score_hits(
+    df: DataFrame,
+    hits: DataFrame,
+    id_col: str,
+    caps: Mapping[str, float] | None = CATEGORY_CAPS,
+    min_score: float = MIN_SCORE,
+) -> DataFrame:
+    """``score_rows`` from a table of hits (row id, category, weight, n).
+
+    For lexicons too large to travel inside the query. Hits are summed per row
+    and category, then per row; both groups are as small as one text.
+    """
+    total = F.col("total")
+    if caps:
+        whens = " ".join(f"WHEN {sql_value(c)} THEN {sql_value(float(cap))}" for c, cap in caps.items())
+        total = F.expr(f"least(total, CASE category {whens} END)")
+    per_category = hits.groupBy(id_col, "category").agg(
+        F.sum("n").alias("hits"), F.sum(F.col("n") * F.col("weight")).alias("total")
+    )
+    per_row = per_category.groupBy(id_col).agg(
+        F.map_from_entries(F.collect_list(F.struct("category", "total"))).alias("per_category"),
+        F.sum("hits").alias("hit_count"),
+        F.sum(total).alias("score"),
+    )
+    return df.join(per_row, id_col, "left").select(
+        *df.columns,
+        F.coalesce("per_category", F.expr("CAST(map() AS map<string,double>)")).alias("per_category"),
+        F.coalesce("hit_count", F.lit(0).cast("long")).alias("hit_count"),
+        F.coalesce("score", F.lit(0.0)).alias("score"),
+    ).withColumn("flagged", F.col("score") >= F.lit(float(min_score)))
+
+
 def category_scores(scored: DataFrame, id_col: str) -> DataFrame:
     """One row per (row id, category) with the uncapped weight sum."""
     return scored.select(id_col, F.explode("per_category").alias("category", "total"))

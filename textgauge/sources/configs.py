@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgauge.operators.lexicon import DEFAULT_CATEGORY, DEFAULT_WEIGHT
+from textgauge.operators.lexicon import DEFAULT_CATEGORY, DEFAULT_WEIGHT, MAX_INLINE_TERMS
 
 SPEC = "struct<category:string,weight:double>"
 LISTED = "struct<terms:array<struct<pattern:string,term:string,category:string,weight:double>>>"
@@ -72,10 +72,19 @@ def clean_terms(lines: DataFrame, column: str = "value") -> DataFrame:
 def read_terms(spark: SparkSession, path: str | None) -> DataFrame:
     """An allowlist or denylist, one term per line; none when there is no file."""
     if not path or not path_exists(spark, path):
-        return spark.createDataFrame([], "value string")
+        return spark.range(0).select(F.lit("").alias("value"))
     return clean_terms(spark.read.text(path))
 
 
+def bounded_list(df: DataFrame, column: str, order_col: str | None = None, bound: int = MAX_INLINE_TERMS) -> list[str]:
+    """A short configuration table as a list; the read stops one row past the bound."""
+    ordered = df.orderBy(order_col) if order_col else df
+    rows = ordered.select(column).limit(bound + 1).collect()
+    if len(rows) > bound:
+        raise ValueError(f"more than {bound} entries")
+    return [r[0] for r in rows]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)

@@ -107,19 +107,31 @@ SELECT t.doc_id, t.term, w.category, CAST(1.0 AS DOUBLE) AS weight, count(*) AS
 FROM tok t JOIN words w USING (term) GROUP BY ALL"""
 
 
+def shared_words(spark: SparkSession, sf: str) -> DataFrame:
+    """A lexicon made from data: every word of the benchmark items."""
+    terms = table(spark, sf, "benchmark").select(F.explode(words(F.lower("text"))).alias("term")).distinct()
+    category = F.when(F.length("term") > 4, "long").otherwise("short")
+    return terms.select("term", category.alias("category"), F.lit(1.0).alias("weight"))
+
+
 @query("J3_large_lexicon_hits", SHARED_WORDS)
 def large_lexicon_hits(spark: SparkSession, sf: str) -> DataFrame:
-    """A lexicon made from data: every word of the benchmark items."""
-    terms = (
-        table(spark, sf, "benchmark")
-        .select(F.explode(words(F.lower("text"))).alias("term"))
-        .distinct()
-        .select(
-            "term", F.when(F.length("term") > 4, "long").otherwise("short").alias("category"),
-            F.lit(1.0).alias("weight"),
-        )
+    return matching.match_terms(documents(spark, sf), shared_words(spark, sf), "doc_id")
+
+
+@query(
+    "A2_scores_from_hit_table",
+    f"SELECT d.doc_id, d.lang, coalesce(s.score, 0) AS score, coalesce(s.hits, 0) AS hit_count FROM documents d LEFT JOIN ("
+    f"SELECT doc_id, sum(CASE WHEN category = 'short' THEN least(n, 40) ELSE n END)::DOUBLE AS score, "
+    f"CAST(sum(n) AS BIGINT) AS hits FROM (SELECT doc_id, category, sum(n) AS n FROM ({SHARED_WORDS}) GROUP BY ALL) "
+    "GROUP BY doc_id) s USING (doc_id)",
+)
+def scores_from_hit_table(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    hits = matching.match_terms(docs, shared_words(spark, sf), "doc_id")
+    return scoring.score_hits(docs.select("doc_id", "lang"), hits, "doc_id", caps={"short": 40.0}).select(
+        "doc_id", "lang", "score", "hit_count"
     )
-    return matching.match_terms(documents(spark, sf), terms, "doc_id")
 
 
 @query(

@@ -241,8 +241,8 @@ def l1_regression(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.confusion_matrix(run.test)
 
 
-@query("M4_pipeline_summary")
-def pipeline_summary(spark: SparkSession, sf: str) -> DataFrame:
+@query("M4_run_summary")
+def fitted_run_summary(spark: SparkSession, sf: str) -> DataFrame:
     run = classifier_run(training_rows(spark, sf), "doc_id", BALANCED, test_size=0.2, val_size=0.1)
     return run_summary(run, "run-1", "2026-01-01T00:00:00Z", f"{sf}/documents.parquet")
 
