@@ -37,7 +37,7 @@ def topic_csv(spark: SparkSession, sf: str) -> DataFrame:
     return texts.read_topics(spark, path).withColumn("id", F.col("id").cast("bigint"))
 
 
-@query("S3_column_json", "SELECT text, quality AS label FROM documents JOIN labels USING (doc_id)")
+@query("S3_column_json", "SELECT text, CAST(quality AS BIGINT) AS label FROM documents JOIN labels USING (doc_id)")
 def column_json(spark: SparkSession, sf: str) -> DataFrame:
     """Parallel arrays of at most 64 rows each, as ids are unique."""
     path = scratch_path(spark, "columns")
@@ -49,7 +49,7 @@ def column_json(spark: SparkSession, sf: str) -> DataFrame:
     return texts.pair_columns(parallel)
 
 
-@query("S4_jsonl_texts", "SELECT text, toxic AS label FROM documents JOIN labels USING (doc_id)")
+@query("S4_jsonl_texts", "SELECT text, CAST(toxic AS BIGINT) AS label FROM documents JOIN labels USING (doc_id)")
 def jsonl_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Lines with a prompt instead of a text; blank lines are skipped."""
     path = scratch_path(spark, "lines")
