@@ -136,3 +136,14 @@ def test_few_shot(spark):
     assert (last.system, last.user, [tuple(s) for s in last.shots]) == ("Be kind.", "q3", [("q1", "a1"), ("q2", "a2")])
     assert [tuple(s) for s in built[1, 3].shots] == [("q1", "a1")]
     assert built[2, 1].shots == [] and built[2, 1].system == "" and built[2, 1].created == "now"
+
+
+def test_few_shot_across_blocks_and_gaps(spark):
+    n = 2 * fewshot.BLOCK_TURNS + 40
+    kept = [t for t in range(n) if t not in (7, 300)]
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"t{t}") for t in kept]
+    df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")
+    pairs = {r.turn: (r.q, r.a) for r in fewshot.shot_pairs(df).collect()}
+    assert pairs == {t: (f"t{t}", f"t{t + 1}") for t in kept if t % 2 == 0 and t + 1 in kept}
+    for r in fewshot.few_shot_prompts(df).collect():
+        assert [tuple(s) for s in r.shots] == [pairs[b] for b in (r.turn - 4, r.turn - 2) if b in pairs]

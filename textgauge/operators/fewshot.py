@@ -1,15 +1,19 @@
 """Few-shot prompts from conversations.
 
-A question and its answer are neighbouring turns of one conversation, found by
-an equi-join on (conversation, turn). Both columns together are unique, so a
-conversation that holds a third of all rows is spread like any other data.
+What a prompt needs lies a few turns before it. Conversations are therefore cut
+into blocks of turns, each with the last turns of the block before it, and one
+shuffle by (conversation, block) serves all look-backs. A conversation that
+holds a third of all rows is spread over its blocks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Turns per block; look-backs must be shorter.
+BLOCK_TURNS = 256
+
 
 def build_prompt(system: Column, user: Column, shots: Column, created: Column, prompt_id: Column) -> Column:
     """One prompt record from its parts; system and user text are trimmed."""
@@ -22,44 +26,62 @@ def build_prompt(system: Column, user: Column, shots: Column, created: Column, p
     )
 
 
+def in_blocks(turns: DataFrame, back: int) -> DataFrame:
+    """Each turn in its own block, and in the next one if that looks back to it."""
+    if back >= BLOCK_TURNS:
+        raise ValueError(f"look back fewer than {BLOCK_TURNS} turns")
+    own, later = F.floor(F.col("turn") / BLOCK_TURNS), F.floor((F.col("turn") + back) / BLOCK_TURNS)
+    return turns.select(
+        "conv_id", "turn", "role", "text", own.alias("_own"),
+        F.explode(F.array_distinct(F.array(own, later))).alias("_block"),
+    )
+
+
+def text_before(turns_back: int, role: str) -> Column:
+    """The text of the turn exactly so many turns back, if it has that role."""
+    place = Window.partitionBy("conv_id", "_block").orderBy("turn").rangeBetween(-turns_back, -turns_back)
+    return F.first(F.when(F.col("role") == role, F.col("text"))).over(place)
+
+
 def shot_pairs(turns: DataFrame) -> DataFrame:
     """(conv_id, turn, q, a): a user turn and the assistant turn right after it."""
-    asked = turns.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("q"))
-    answered = turns.where("role = 'assistant'").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("a")
+    answered = in_blocks(turns, 1).withColumn("q", text_before(1, "user"))
+    return answered.where("role = 'assistant' AND _own = _block AND q IS NOT NULL").select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), "q", F.col("text").alias("a")
     )
-    return asked.join(answered, ["conv_id", "turn"])
 
 
 def system_texts(turns: DataFrame) -> DataFrame:
     """The first system turn of each conversation that has one."""
-    return (
-        turns.where("role = 'system'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("system"))
-    )
+    return turns.where("role = 'system'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("system"))
 
 
 def few_shot_prompts(turns: DataFrame, shots: int = 2, default_system: str = "", created: str = "") -> DataFrame:
     """A prompt for each user turn, with the exchanges just before it as shots.
 
-    ``shots`` is how many earlier exchanges a prompt shows. They are collected
-    by one join each on unique keys rather than by grouping conversations.
+    ``shots`` is how many earlier exchanges a prompt shows, oldest first.
     """
-    pairs = shot_pairs(turns)
-    asked = turns.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("user"))
-    for back in range(1, shots + 1):
-        earlier = pairs.select(
-            "conv_id", (F.col("turn") + 2 * back).alias("turn"), F.struct("q", "a").alias(f"_shot{back}")
+    looked_back = in_blocks(turns, 2 * shots)
+    for k in range(1, shots + 1):
+        looked_back = looked_back.withColumns(
+            {f"_q{k}": text_before(2 * k, "user"), f"_a{k}": text_before(2 * k - 1, "assistant")}
+        )
+    shown = [
+        F.when(
+            F.col(f"_q{k}").isNotNull() & F.col(f"_a{k}").isNotNull(),
+            F.struct(F.col(f"_q{k}").alias("q"), F.col(f"_a{k}").alias("a")),
         )
-        asked = asked.join(earlier, ["conv_id", "turn"], "left")
-    shown = [F.col(f"_shot{back}") for back in range(shots, 0, -1)]
-    listed = F.array_compact(F.array(*shown)) if shown else F.array().cast("array<struct<q:string,a:string>>")
+        for k in range(shots, 0, -1)
+    ]
+    listed = F.array_compact(F.array(*shown)) if shown else F.expr("CAST(array() AS array<struct<q:string,a:string>>)")
     record = build_prompt(
         F.coalesce(F.col("system"), F.lit(default_system)),
-        F.col("user"),
+        F.col("text"),
         listed,
         F.lit(created),
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")),
     )
+    asked = looked_back.where("role = 'user' AND _own = _block")
     return asked.join(system_texts(turns), "conv_id", "left").select("conv_id", "turn", record.alias("p")).select(
         "conv_id", "turn", "p.*"
     )
