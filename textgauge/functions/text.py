@@ -24,6 +24,9 @@ BOUNDARY = rf"(?:(?<={BEHIND})(?!{WORD})|(?<!{BEHIND})(?={WORD}))"
 # Width of the blocks in ``running_sum``; about the cube root of a million.
 BLOCK = 128
 
+# Characters per piece in ``chunks``.
+CHUNK = 256
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind ``value`` to a name inside an expression so it is computed once."""
@@ -126,11 +129,23 @@ def occurrence_starts(low: Column, pattern: Column, key: Column) -> Column:
     return let(F.split(low, pattern, -1), starts)
 
 
-def context(text: Column, start: Column, end: Column, window: int) -> Column:
-    """The text around a hit, clamped at both ends."""
+def chunks(text: Column) -> Column:
+    """A text as pieces of ``CHUNK`` characters.
+
+    Cutting a piece out of a string walks from its start; with chunks, many
+    contexts of a long text cost as little as those of a short one.
+    """
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+
+def context(pieces: Column, length: Column, start: Column, end: Column, window: int) -> Column:
+    """The text around a hit, clamped at both ends, from the chunks of the text."""
     left = F.greatest(start - window, F.lit(0))
-    right = F.least(F.length(text), end + window)
-    return F.substr(text, left + 1, F.greatest(right - left, F.lit(0)))
+    right = F.least(length, end + window)
+    first = F.floor(left / CHUNK).cast("int")
+    count = F.floor((right - 1) / CHUNK).cast("int") - first + 1
+    near = F.array_join(F.slice(pieces, first + 1, F.greatest(count, F.lit(0))), "")
+    return F.when(right > left, F.substr(near, left - first * CHUNK + 1, right - left)).otherwise("")
 
 
 def term_frequencies(terms: Column) -> Column:
