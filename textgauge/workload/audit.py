@@ -19,8 +19,8 @@ from textgauge.workload.registry import documents, query, values
 # Terms that occur in the texts, on top of the built-in ones: words, phrases, a
 # term with punctuation and a new category for a built-in term.
 CUSTOM_TERMS = (
-    ("that", "reference", 0.25),
-    ("this", "reference", 0.5),
+    ("that", "pointer", 0.25),
+    ("this", "pointer", 0.5),
     ("with", "relation", 0.25),
     ("was", "tense", 0.25),
     ("of the", "relation", 0.5),
@@ -33,7 +33,7 @@ CUSTOM_TERMS = (
 )
 ALLOWED = ("that in", "With the", "que le")
 DENIED = ("worthless", "License", "in der", "that")
-CAPS = CATEGORY_CAPS | {"reference": 2.0, "article": 1.5, "gender": 1.25}
+CAPS = CATEGORY_CAPS | {"pointer": 2.0, "article": 1.5, "gender": 1.25}
 
 LEXICON = Lexicon.builtin().overlay(CUSTOM_TERMS)
 OPTIONS = {"allowlist": ALLOWED, "denylist": DENIED, "caps": CAPS}
