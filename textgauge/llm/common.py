@@ -78,3 +78,22 @@ def rows_out(batches: Iterable[pa.RecordBatch], schema: pa.Schema, make) -> Iter
                 [pa.array(column, field.type) if not isinstance(column, pa.Array) else column for column, field in zip(make(batch), schema)],
                 schema=schema,
             )
+
+
+def hot_keys(counted: DataFrame, n: str, share: int = 1000) -> DataFrame:
+    """Rows of ``counted`` whose ``n`` is at least a thousandth of the sum: 1000 at most."""
+    total = counted.agg(F.coalesce(F.sum(n), F.lit(0)).alias("total")).first()["total"]
+    return counted.where(F.col(n) * share >= F.lit(max(total, 1)))
+
+
+def join_hot(rows: DataFrame, counted: DataFrame, on: list[str], n: str, how: str = "left") -> DataFrame:
+    """``rows`` joined with ``counted``, which has one row per key and its count ``n``.
+
+    Keys that hold a thousandth of all rows, of which there are 1000 at most,
+    are broadcast and so never gather in one task; the others are shuffled.
+    Both tables are read more than once: hand over saved ones.
+    """
+    hot = F.broadcast(hot_keys(counted, n))
+    near = rows.join(hot, on, "inner")
+    far = rows.join(hot.select(*on), on, "left_anti").join(counted, on, how)
+    return near.unionByName(far)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgauge.llm import line_dedup, winnowing
+from textgauge.llm import bpe, line_dedup, quality_classifier, quality_rules, simhash, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,45 @@ def table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@query
+def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf, "documents", "doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op3_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    found = bpe.decode(bpe.encode(table(spark, sf, "documents", "doc_id", "text"), path), path)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    model = quality_rules.fit(docs, table(spark, sf, "labels", "doc_id", "quality"))
+    return quality_rules.judge(docs, model).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op6_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    weights = quality_classifier.fit(docs, table(spark, sf, "labels", "doc_id", "quality").where(~held))
+    scored = quality_classifier.score(docs, weights)
+    return scored.select(
+        F.col("id").alias("doc_id"),
+        (F.pmod(F.crc32(F.col("id").cast("string")), F.lit(4)) == 2).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
+
+
 @query
 def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents", "doc_id", "text")
