@@ -107,6 +107,30 @@ def vector(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([wi, ci + _SIZE]).astype(np.int32), values.astype(np.float32)
 
 
+def _platt(x: np.ndarray, target: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of the calibrated log-odds, by Newton steps that never raise the loss."""
+    scale = max(1e-9, float(np.std(x)))
+    x = x / scale
+
+    def loss(at: np.ndarray) -> float:
+        f = at[0] * x + at[1]
+        return float((np.logaddexp(0, f) - target * f).sum() + 1e-3 * at[0] ** 2)
+
+    at = np.zeros(2)
+    for _ in range(100):
+        p = sigmoid(at[0] * x + at[1])
+        r, s = p - target, p * (1 - p) + 1e-9
+        gradient = np.array([r @ x + 2e-3 * at[0], r.sum()])
+        step = np.linalg.solve([[s @ (x * x) + 2e-3, s @ x], [s @ x, s.sum()]], gradient)
+        size = 1.0
+        while size > 1e-6 and loss(at - size * step) > loss(at):
+            size /= 2
+        at = at - size * step
+        if np.abs(gradient).max() < 1e-6:
+            break
+    return float(at[0] / scale), float(at[1])
+
+
 def fit_model(rows: list, epochs: int = 4, rate: float = 0.3, l2: float = 1e-5, seed: int = 3) -> Model:
     """Fit on rows with id, label, index and value; every fourth row calibrates."""
     data = [(r["label"], np.frombuffer(r["index"], np.int32), np.frombuffer(r["value"], np.float32)) for r in rows]
@@ -128,14 +152,7 @@ def fit_model(rows: list, epochs: int = 4, rate: float = 0.3, l2: float = 1e-5,
     y = np.array([d[0] for d in held], float)
     # Platt's targets keep the fit finite where the classes separate
     target = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
-    a, b = 1.0, 0.0
-    for _ in range(50):
-        p = sigmoid(a * x + b)
-        r, s = p - target, np.maximum(p * (1 - p), 1e-6)
-        gradient = np.array([r @ x + 1e-3 * (a - 1), r.sum()])
-        hessian = np.array([[s @ (x * x) + 1e-3, s @ x], [s @ x, s.sum()]])
-        step = np.linalg.solve(hessian, gradient)
-        a, b = a - step[0], b - step[1]
+    a, b = _platt(x, target)
     return Model(w.astype(np.float32), float(bias), float(a), float(b))
 
 
