@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgauge.llm import bpe, line_dedup, quality_classifier, quality_rules, simhash, winnowing
+from textgauge.llm import bpe, html_text, line_dedup, quality_classifier, quality_rules, simhash, warc, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -111,6 +111,19 @@ FROM dw LEFT JOIN places USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+@query
+def op8_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.extract(table(spark, sf, "pages", "page_id", "url", "html")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
+    # the table has no time of capture: one a minute, in the order of ids
+    pages = table(spark, sf, "pages", "page_id", "url", "html").withColumn("captured", F.lit(1_600_000_000) + 60 * F.col("page_id"))
+    found = warc.archive(pages)
+    return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
+
+
 @query
 def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents", "doc_id", "text")
