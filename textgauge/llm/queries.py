@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgauge.llm import bpe, html_text, line_dedup, quality_classifier, quality_rules, simhash, warc, winnowing
+from textgauge.llm import bpe, html_text, kneser_ney, line_dedup, pii, quality_classifier, quality_rules, simhash, warc, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,18 @@ def table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@query
+def op1_pii(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+
+    def listed(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 @query
 def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf, "documents", "doc_id", "text"))
@@ -46,6 +58,19 @@ def op3_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op4_kneser_ney(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents", "doc_id", "text")
+
+    def held(key: str) -> Column:
+        return F.coalesce(F.pmod(F.crc32(F.col(key).cast("string")), F.lit(7)) == 2, F.lit(False))
+
+    model = kneser_ney.train(docs.where(~held("doc_id")))
+    return kneser_ney.score(docs, model).select(
+        F.col("id").alias("doc_id"), held("id").alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity"
+    )
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents", "doc_id", "text")
@@ -121,7 +146,7 @@ def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     # the table has no time of capture: one a minute, in the order of ids
     pages = table(spark, sf, "pages", "page_id", "url", "html").withColumn("captured", F.lit(1_600_000_000) + 60 * F.col("page_id"))
     found = warc.archive(pages)
-    return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
+    return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "captured")
 
 
 @query
