@@ -36,6 +36,15 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*[F.col(c) for c in columns])
 
 
+def packed(df: DataFrame, **columns: Column) -> DataFrame:
+    """All of a row as ``row``, beside own columns whose names then can't clash with it."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(n) for n, c in columns.items()])
+
+
+def unpacked(df: DataFrame, names: list[str]) -> list[Column]:
+    return [F.col("row").getField(n).alias(n) for n in names]
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder that all executors share; read from the session.
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textgauge.llm.common import ascii_lower, row_key
+from textgauge.llm.common import ascii_lower, packed, row_key, unpacked
 from textgauge.session import once
 
 BLANKS = " \t\n\x0b\f\r"
@@ -55,26 +55,23 @@ def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int =
 def dedup_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS
 ) -> DataFrame:
-    """All rows and columns of ``docs``, plus n_lines, n_dropped and kept_text."""
+    """All rows and columns of ``docs``, plus n_lines, n_dropped and kept_text (in place of columns of these names)."""
     repeated = repeated_lines(docs, id_col, text_col, min_chars, min_documents).drop("n_documents")
     drops = (
         _keyed_lines(docs, id_col, text_col, min_chars)
         .join(repeated, ["h1", "h2"])
         .where(~F.col("id").eqNullSafe(F.col("keeper")))
         .groupBy("rk")
-        .agg(F.collect_set("pos").alias("_drops"))
-        .withColumnRenamed("rk", "_rk")
+        .agg(F.collect_set("pos").alias("drops"))
     )
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    joined = docs.withColumn("_rk", row_key(id_col, text_col)).join(drops, "_rk", "left").drop("_rk")
-    split = once(joined, _lines=F.split(text, "\n"))
+    joined = packed(docs, rk=row_key(id_col, text_col), text=F.coalesce(F.col(text_col), F.lit(""))).join(drops, "rk", "left")
+    split = once(joined, lines=F.split("text", "\n"))
     # array_except is linear and keeps the order of its first argument
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drops"))
-    put = F.array_join(F.transform(left, lambda i: F.col("_lines")[i]), "\n")
-    kept = F.when(F.col("_drops").isNull(), text).otherwise(put)
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("drops"))
+    put = F.array_join(F.transform(left, lambda i: F.col("lines")[i]), "\n")
     return split.select(
-        *[split[c] for c in docs.columns if c not in ("n_lines", "n_dropped", "kept_text")],
-        F.size("_lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("_drops"), F.lit(0)).cast("long").alias("n_dropped"),
-        kept.alias("kept_text"),
+        *unpacked(split, [c for c in docs.columns if c not in ("n_lines", "n_dropped", "kept_text")]),
+        F.size("lines").cast("long").alias("n_lines"),
+        F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.when(F.col("drops").isNull(), F.col("text")).otherwise(put).alias("kept_text"),
     )
