@@ -36,8 +36,10 @@ def op1_pii(spark: SparkSession, sf: str) -> DataFrame:
     def listed(spans: str) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
-    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(F.col("id").alias("doc_id"), *map(count, pii.KINDS), F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
 
 
 @query
