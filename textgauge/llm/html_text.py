@@ -22,6 +22,7 @@ repeated rows.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from textgauge.llm.common import bounded_batches
 
 #: Share of the best path's value that a path needs, within a marked article and without one.
-LOW_SHARE, SHARE = 0.0, 0.2
+ARTICLE_SHARE, SHARE = 0.0, 0.2
 
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img input".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -64,11 +65,14 @@ CLOSED_BY = {
     "option": frozenset(["option", "optgroup"]),
     "head": frozenset(["body"]),
 }
+CLOSES = {tag: [name for name, by in CLOSED_BY.items() if tag in by] for tag in frozenset().union(*CLOSED_BY.values())}
 #: A search for an element to close goes no further than these.
 SCOPE = frozenset("table ul ol dl td th article main section div".split())
 
-_QUOTED = r"""(?:[^>"']|"[^"]{0,4096}"|'[^']{0,4096}')*"""
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:{_QUOTED}(?=>))|[^>]*)>", re.S)
+_NAME = re.compile(r"/?([A-Za-z][^\s/>]*)")
+_OPENS = re.compile(r"""=\s*(["'])""")
+#: An attribute's value may hold ">" if it is no longer than this.
+_LONG_VALUE = 4096
 _MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _CLASS = re.compile(r"""\bclass\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""\bhidden\b|display\s*:\s*none""", re.I)
@@ -79,10 +83,10 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：]")
 
 
 class Block:
-    __slots__ = ("text", "path", "linked", "article")
+    __slots__ = ("text", "path", "heading", "linked", "article")
 
-    def __init__(self, text: str, path: tuple[str, ...], linked: int, article: int | None):
-        self.text, self.path, self.linked, self.article = text, path, linked, article
+    def __init__(self, text: str, path: int, heading: bool, linked: int, article: int | None):
+        self.text, self.path, self.heading, self.linked, self.article = text, path, heading, linked, article
 
 
 def hinted(attributes: str) -> bool:
@@ -91,11 +95,13 @@ def hinted(attributes: str) -> bool:
 
 
 class _Walk:
-    """Blocks of a page in page order."""
+    """Blocks of a page in page order; each step costs the same however deep the page."""
 
     def __init__(self):
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, str, bool, int | None]] = []  # tag, label, excluded, article
+        self.open: list[tuple[str, int, bool, int | None]] = []  # tag, path, excluded, article
+        self.count: Counter[str] = Counter()
+        self.paths: dict[tuple[int, str], int] = {}
         self.parts: list[str] = []
         self.linked, self.link_depth, self.articles = 0, None, 0
 
@@ -111,12 +117,14 @@ class _Walk:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                article = self.open[-1][3] if self.open else None
-                self.blocks.append(Block(text, tuple(x[1] for x in self.open), self.linked, article))
+                tag, path, _, article = self.open[-1] if self.open else ("", 0, False, None)
+                self.blocks.append(Block(text, path, tag in HEADINGS, self.linked, article))
             self.parts, self.linked = [], 0
 
     def pop(self, to: int) -> None:
         self.flush()
+        for tag, *_ in self.open[to:]:
+            self.count[tag] -= 1
         del self.open[to:]
         if self.link_depth is not None and self.link_depth > to:
             self.link_depth = None
@@ -126,104 +134,138 @@ class _Walk:
             self.parts.append(" ")
         if tag == "a":
             self.link_depth = len(self.open)
-        if tag in INLINE and not (tag not in VOID and hinted(attributes)):
+        if tag in INLINE and (tag in VOID or not hinted(attributes)):
             return
         self.flush()
-        for at in range(len(self.open) - 1, -1, -1):
-            name = self.open[at][0]
-            if tag in CLOSED_BY.get(name, ()):
-                self.pop(at)
-                break
-            if name in SCOPE:
-                break
+        if any(self.count[name] for name in CLOSES.get(tag, ())):
+            for at in range(len(self.open) - 1, -1, -1):
+                name = self.open[at][0]
+                if tag in CLOSED_BY.get(name, ()):
+                    self.pop(at)
+                    break
+                if name in SCOPE:
+                    break
         if tag in VOID:
             return
-        above, article = (self.open[-1][2], self.open[-1][3]) if self.open else (False, None)
+        _, above, excluded, article = self.open[-1] if self.open else ("", 0, False, None)
         inside = article is not None
-        excluded = above or tag in BOILERPLATE or (tag == "header" and not inside) or bool(attributes and _HIDDEN.search(attributes))
-        if not excluded and attributes and tag not in ("html", "body") and tag not in ARTICLES and tag not in HEADINGS:
-            excluded = hinted(attributes)
-        elif not excluded and tag in ARTICLES and inside:
-            excluded = bool(attributes) and hinted(attributes)
-        if tag in ARTICLES and not excluded and (article is None or tag == "article"):
+        excluded = excluded or tag in BOILERPLATE or (tag == "header" and not inside)
+        if not excluded and attributes:
+            named = tag not in ("html", "body") and tag not in HEADINGS and (tag not in ARTICLES or inside)
+            excluded = bool(_HIDDEN.search(attributes)) or (named and hinted(attributes))
+        if tag in ARTICLES and not excluded and not inside:
             self.articles += 1
-            article = self.articles if article is None else article
+            article = self.articles
         name = _CLASS.search(attributes) if attributes else None
         label = f"{tag}.{name[1].strip(chr(34) + chr(39))}" if name else tag
-        self.open.append((tag, label, excluded, article))
+        self.open.append((tag, self.paths.setdefault((above, label), len(self.paths) + 1), excluded, article))
+        self.count[tag] += 1
 
     def end(self, tag: str) -> None:
         if tag == "a":
             self.link_depth = None
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == tag:
-                self.pop(at)
-                return
-        if tag == "p":
+        if self.count[tag]:
+            at = next(k for k in range(len(self.open) - 1, -1, -1) if self.open[k][0] == tag)
+            self.pop(at)
+        elif tag == "p":
             self.flush()
 
 
+def _tag_end(html: str, at: int) -> int:
+    """Place of the ">" that ends a tag; one in a quoted value does not. -1: none."""
+    while True:
+        end = html.find(">", at)
+        quote = _OPENS.search(html, at, end) if end >= 0 else None
+        if not quote:
+            return end
+        close = html.find(quote[1], quote.end(), quote.end() + _LONG_VALUE)
+        if close < 0:
+            return end
+        at = close + 1
+        if at > end and html.find(">", at) < 0:
+            return end
+
+
 def blocks(html: str) -> list[Block]:
     walk, at, size = _Walk(), 0, len(html)
     while at < size:
-        found = _TOKEN.search(html, at)
-        if not found:
-            walk.text(html[at:])
+        begin = html.find("<", at)
+        if begin < 0:
             break
-        if found.start() > at:
-            walk.text(html[at : found.start()])
-        at = found.end()
-        if not found[2]:
-            if found[0].startswith("<![CDATA["):
-                walk.text(found[0][9:-3].replace("&", "&amp;"))
-            continue
-        tag = found[2].lower()
-        if found[1]:
-            walk.end(tag)
-        elif tag in RAW:
-            if not found[3].endswith("/"):
-                close = _END[tag].search(html, at)
-                at = close.end() if close else size
-            walk.parts.append(" ")
+        if begin > at:
+            walk.text(html[at:begin])
+        at = begin
+        if html.startswith("<!--", at):
+            end = html.find("-->", at + 4)
+            at = end + 3 if end >= 0 else size
+        elif html.startswith("<![CDATA[", at) and (end := html.find("]]>", at)) >= 0:
+            walk.text(html[at + 9 : end].replace("&", "&amp;"))
+            at = end + 3
+        elif name := _NAME.match(html, at + 1):
+            end = _tag_end(html, name.end())
+            if end < 0:
+                break
+            tag, attributes = name[1].lower(), html[name.end() : end]
+            at = end + 1
+            if name[0][0] == "/":
+                walk.end(tag)
+            elif tag in RAW:
+                if not attributes.endswith("/"):
+                    close = _END[tag].search(html, at)
+                    at = close.end() if close else size
+                walk.parts.append(" ")
+            else:
+                walk.start(tag, attributes)
+        elif html[at + 1 : at + 2] in ("!", "?"):
+            end = html.find(">", at)
+            at = end + 1 if end >= 0 else size
         else:
-            walk.start(tag, found[3])
+            walk.text("<")
+            at += 1
+    if at < size:
+        walk.text(html[at:])
     walk.flush()
     return walk.blocks
 
 
-def path_values(found: list[Block]) -> dict[tuple[str, ...], float]:
+def path_values(found: list[Block]) -> dict[int, float]:
     """The fused ratio of each path."""
-    text, points, count, order = {}, {}, {}, []
+    text, points, count = Counter(), Counter(), Counter()
     for b in found:
-        own = len(b.text) if b.path and b.path[-1].split(".")[0] in HEADINGS else max(0, len(b.text) - b.linked)
-        text[b.path] = text.get(b.path, 0) + own
-        points[b.path] = points.get(b.path, 0) + (len(_PUNCTUATION.findall(b.text)) if own else 0)
-        count[b.path] = count.get(b.path, 0) + 1
-        order.append(b.path)
-    ratio = {p: text[p] / count[p] for p in text}
-    series = [ratio[p] for p in order]
-    smooth: dict[tuple[str, ...], float] = {}
-    for k, p in enumerate(order):
+        own = len(b.text) if b.heading else max(0, len(b.text) - b.linked)
+        text[b.path] += own
+        points[b.path] += len(_PUNCTUATION.findall(b.text)) if own else 0
+        count[b.path] += 1
+    ratio = {p: text[p] / count[p] for p in count}
+    series = [ratio[b.path] for b in found]
+    smooth: dict[int, float] = {}
+    for k, b in enumerate(found):
         near = series[max(0, k - 1) : k + 2]
-        value = (sum(near) + series[k]) / (len(near) + 1)
-        smooth[p] = max(smooth.get(p, 0.0), value)
+        smooth[b.path] = max(smooth.get(b.path, 0.0), (sum(near) + series[k]) / (len(near) + 1))
     return {p: (ratio[p] * smooth[p]) ** 0.5 * (1 + points[p] / count[p]) ** 0.5 for p in ratio}
 
 
 def main_text(html: str | None) -> str:
     """The article's blocks, joined by an empty line."""
     found = blocks(html) if html else []
-    sizes: dict[int, int] = {}
+    sizes: Counter[int] = Counter()
     for b in found:
         if b.article is not None:
-            sizes[b.article] = sizes.get(b.article, 0) + len(b.text)
+            sizes[b.article] += len(b.text)
     share = SHARE
     if sizes:
         best = max(sizes, key=lambda k: (sizes[k], -k))
-        found, share = [b for b in found if b.article == best], LOW_SHARE
+        found, share = [b for b in found if b.article == best], ARTICLE_SHARE
     value = path_values(found)
     least = share * max(value.values(), default=0.0)
-    return "\n\n".join(b.text for b in found if value[b.path] > 0 and value[b.path] >= least)
+    kept, below = [], False
+    for b in reversed(found):
+        own = value[b.path] > 0 and value[b.path] >= least
+        keep = own or (b.heading and below)  # a heading goes with the text under it
+        below = keep
+        if keep:
+            kept.append(b.text)
+    return "\n\n".join(reversed(kept))
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
