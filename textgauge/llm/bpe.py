@@ -28,6 +28,7 @@ repeated rows.
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -44,7 +45,9 @@ from textgauge.llm.common import bounded_batches, row_key
 LONG = 32_768
 #: Tokens on either side of a join at first; more than any special token's length.
 WINDOW = 32
-CACHED_WORDS = 200_000
+CACHED_WORDS = 400_000
+BLANKS = " \t\n\r\x0b\f"
+_BLANK = re.compile(f"[{BLANKS}]")
 
 
 @lru_cache(maxsize=4)
@@ -76,6 +79,12 @@ class WordEncoder:
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
+@lru_cache(maxsize=4)
+def word_encoder(path: str) -> WordEncoder:
+    """One per worker, so that its cache outlives a task."""
+    return WordEncoder(path)
+
+
 def cuts(text: str, most: int) -> list[str]:
     """Halves, of halves, until no piece has more than ``most`` code points."""
     if len(text) <= most:
@@ -139,11 +148,43 @@ def joined(left: Piece, right: Piece, by: Tokenizer, window: int = WINDOW) -> Pi
         width *= 2
 
 
-def tree(pieces: list[Piece], by: Tokenizer, window: int = WINDOW) -> Piece:
-    """Join neighbours pairwise until one piece is left."""
-    while len(pieces) > 1:
-        pieces = [joined(*pieces[k : k + 2], by, window) if k + 1 < len(pieces) else pieces[k] for k in range(0, len(pieces), 2)]
-    return pieces[0]
+class Run:
+    """A cut piece, or several joined: its ids, and its text near both ends.
+
+    ``head`` ends and ``tail`` begins at white space, where words are separate
+    whatever follows; a text without such a place is ``whole``, both at once.
+    """
+
+    def __init__(self, ids: np.ndarray, head: str, tail: str, whole: bool):
+        self.ids, self.head, self.tail, self.whole = ids, head, tail, whole
+
+
+def ends(text: str, margin: int = 8 * WINDOW) -> tuple[str, str, bool]:
+    """Head, tail and whether they are the whole text."""
+    first = _BLANK.search(text, margin)
+    last = max(text.rfind(c, 0, max(0, len(text) - margin)) for c in BLANKS)
+    if not first or last < first.start():
+        return text, text, True
+    return text[: first.start()], text[last:], False
+
+
+def joined_runs(left: Run, right: Run, by: Tokenizer, window: int = WINDOW) -> Run:
+    tail, head = Piece.of(left.tail, by), Piece.of(right.head, by)
+    middle = joined(tail, head, by, window).ids
+    ids = np.concatenate([left.ids[: len(left.ids) - len(tail.ids)], middle, right.ids[len(head.ids) :]])
+    return Run(
+        ids,
+        left.head + right.head if left.whole else left.head,
+        left.tail + right.tail if right.whole else right.tail,
+        left.whole and right.whole,
+    )
+
+
+def tree(runs: list[Run], by: Tokenizer, window: int = WINDOW) -> Run:
+    """Join neighbours pairwise until one is left."""
+    while len(runs) > 1:
+        runs = [joined_runs(*runs[k : k + 2], by, window) if k + 1 < len(runs) else runs[k] for k in range(0, len(runs), 2)]
+    return runs[0]
 
 
 def _encode_long(docs: DataFrame, path: str, long: int) -> DataFrame:
@@ -159,21 +200,23 @@ def _encode_long(docs: DataFrame, path: str, long: int) -> DataFrame:
                 )
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by = tokenizer(path)
+        by = word_encoder(path)
         for batch in batches:
-            made = [Piece.of(t, by) for t in batch.column("text").to_pylist()]
-            pack = [pa.array([getattr(p, n).astype("<u4").tobytes() for p in made], pa.binary()) for n in ("ids", "starts", "ends")]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *pack], names=["rk", "no", "text", "ids", "starts", "ends"])
+            texts = batch.column("text").to_pylist()
+            heads, tails, whole = zip(*map(ends, texts)) if texts else ([], [], [])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(by(texts), pa.binary()), pa.array(heads, pa.string()), pa.array(tails, pa.string()), pa.array(whole, pa.bool_())],
+                names=["rk", "no", "ids", "head", "tail", "whole"],
+            )
 
     def grown(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["no"])
-        pieces = [Piece(r["text"], *(np.frombuffer(r[n], "<u4").astype(np.int64) for n in ("ids", "starts", "ends"))) for r in rows]
-        whole = tree(pieces, tokenizer(path))
-        return pa.table({"rk": pa.array([rows[0]["rk"]], pa.int64()), "ids": pa.array([whole.ids.astype("<u4").tobytes()], pa.binary())})
+        last = tree([Run(np.frombuffer(r["ids"], "<u4").astype(np.int64), r["head"], r["tail"], r["whole"]) for r in rows], tokenizer(path))
+        return pa.table({"rk": pa.array([rows[0]["rk"]], pa.int64()), "ids": pa.array([last.ids.astype("<u4").tobytes()], pa.binary())})
 
     parts = docs.dropDuplicates(["rk"]).mapInArrow(cut, "rk long, no int, text string")
     spread = parts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "rk", "no")
-    pieces = spread.mapInArrow(encoded, "rk long, no int, text string, ids binary, starts binary, ends binary")
+    pieces = spread.mapInArrow(encoded, "rk long, no int, ids binary, head string, tail string, whole boolean")
     return pieces.groupBy("rk").applyInArrow(grown, "rk long, ids binary")
 
 
@@ -189,7 +232,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     is_long = F.coalesce(F.length("text"), F.lit(0)) > long
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by = WordEncoder(path)
+        by = word_encoder(path)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(by(batch.column(1).to_pylist()), pa.binary())], names=["id", "ids"])
 
