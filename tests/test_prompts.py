@@ -144,6 +144,17 @@ def test_few_shot_across_blocks_and_gaps(spark):
     rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"t{t}") for t in kept]
     df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")
     pairs = {r.turn: (r.q, r.a) for r in fewshot.shot_pairs(df).collect()}
-    assert pairs == {t: (f"t{t}", f"t{t + 1}") for t in kept if t % 2 == 0 and t + 1 in kept}
+    following = dict(zip(kept, kept[1:]))
+    assert pairs == {t: (f"t{t}", f"t{following[t]}") for t in kept if t % 2 == 0 and t in following and following[t] % 2}
+    place = {t: k for k, t in enumerate(kept)}
     for r in fewshot.few_shot_prompts(df).collect():
-        assert [tuple(s) for s in r.shots] == [pairs[b] for b in (r.turn - 4, r.turn - 2) if b in pairs]
+        earlier = [kept[place[r.turn] - b] for b in (4, 2) if place[r.turn] >= b]
+        assert [tuple(s) for s in r.shots] == [pairs[t] for t in earlier if t in pairs]
+
+
+def test_few_shot_with_far_turns(spark):
+    rows = [(1, 10, "user", "q"), (1, 5000, "assistant", "a"), (1, 90_000, "user", "next"), (1, 90_001, "system", "Sys")]
+    df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")
+    assert [tuple(r) for r in fewshot.shot_pairs(df).collect()] == [(1, 10, "q", "a")]
+    built = {r.turn: r for r in fewshot.few_shot_prompts(df, shots=150).collect()}
+    assert [tuple(s) for s in built[90_000].shots] == [("q", "a")] and built[10].shots == [] and built[10].system == "Sys"

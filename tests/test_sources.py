@@ -64,7 +64,11 @@ def test_lexicons(spark, tmp_path):
     mapped = {"it's": {"category": "x", "weight": 0.5}, "b": {}, "c": None}
     assert lexicon_rows(spark, tmp_path, json.dumps(mapped)) == [("it's", "x", 0.5), ("b", "uncat", 1.0)]
     assert lexicon_rows(spark, tmp_path, '{"terms": []}') == []
-    with pytest.raises(Exception, match="Unsupported custom lexicon format"):
+    quoted = {"terms": [{"pattern": "a", "weight": "0.5"}, {"pattern": "b", "weight": None}]}
+    assert lexicon_rows(spark, tmp_path, json.dumps(quoted)) == [("a", "uncat", 0.5), ("b", "uncat", 1.0)]
+    with pytest.raises(Exception, match="not a weight: abc"):
+        lexicon_rows(spark, tmp_path, '{"terms": [{"pattern": "a", "weight": "abc"}]}')
+    with pytest.raises(Exception, match="a list of terms or a map"):
         lexicon_rows(spark, tmp_path, "[1]")
 
 
@@ -81,9 +85,8 @@ def test_term_lists(spark, tmp_path):
     assert [r.value for r in configs.read_terms(spark, path).collect()] == ["one", "two words"]
     assert configs.read_terms(spark, str(tmp_path / "none.txt")).count() == 0
     assert configs.read_terms(spark, None).count() == 0
-    assert configs.bounded_list(configs.read_terms(spark, path), "value") == ["one", "two words"]
-    with pytest.raises(ValueError, match="more than 1"):
-        configs.bounded_list(configs.read_terms(spark, path), "value", bound=1)
+    many = write(tmp_path, "many.txt", "".join(f"term {k}\n" for k in range(5000, 0, -1)))
+    assert configs.listed(configs.read_terms(spark, many), "value") == [f"term {k}" for k in range(5000, 0, -1)]
 
 
 def test_templates(spark, tmp_path):
@@ -91,7 +94,7 @@ def test_templates(spark, tmp_path):
         rows = configs.read_templates(spark, write(tmp_path, "t.json", content)).orderBy("tmpl_i").collect()
         assert [r.tmpl for r in rows] == ["Explain {topic}.", "Two"]
     for content in ('["a", " "]', '{"other": []}', '["a", null]'):
-        with pytest.raises(Exception, match="non-empty list of strings"):
+        with pytest.raises(Exception, match="list of templates"):
             configs.read_templates(spark, write(tmp_path, "t.json", content)).collect()
 
 
@@ -173,13 +176,32 @@ def test_manifests_and_reports(spark, tmp_path):
     assert [r.path for r in runs.missing_artifacts(flat).collect()] == ["elsewhere/x.csv"]
     paths = runs.report_paths(flat, "manifest_path", "base_dir")
     by_report = {r.report: r.path for r in paths.collect()}
-    assert by_report["bias_report"] == "elsewhere/sample_bias_report.json"
+    assert by_report["bias_report"] == "elsewhere/sample_bias_report.json"  # no root is given
     found = runs.attach_reports(paths, manifests.read_reports(spark, str(tmp_path))).collect()
     content = {r.report: r.content for r in found}
     assert json.loads(content["prompt_eval"])["summary"]["records"] == 2
     assert content["model_summary"] is None
 
 
+def test_runs_of_every_kind(spark, tmp_path):
+    """No steps, repeated names, plain paths, and reports found through artifacts."""
+    lab = tmp_path / "lab"
+    (lab / "out").mkdir(parents=True)
+    write(lab / "out", "sample_bias_report.json", '{"rows": 4}')
+    step = {"name": "bias_detection", "artifacts": ["out/sample_bias_report.json", {"path": "gone.csv", "exists": False, "bytes": 3}]}
+    docs = {"a": {"steps": []}, "b": {"status": "passed"}, "c": {"steps": [step, {"name": "s"}, {"name": "s", "artifacts": ["x"]}]}}
+    for name, content in docs.items():
+        (lab / name).mkdir()
+        write(lab / name, "manifest.json", json.dumps(content, indent=1))
+    flat = runs.artifact_rows(manifests.read_manifests(spark, f"{lab}/*/manifest.json"), "manifest_path", "base_dir")
+    summary = {r.manifest_path[-15]: (r.steps, r.artifacts, r.missing, r.bytes) for r in runs.run_summary(flat, "manifest_path").collect()}
+    assert summary == {"a": (0, 0, 0, 0), "b": (0, 0, 0, 0), "c": (3, 3, 1, 3)}
+    paths = runs.report_paths(flat, "manifest_path", "base_dir", root=str(lab))
+    assert paths.count() == 9
+    found = runs.attach_reports(paths, manifests.read_reports(spark, f"{lab}/out")).where("content IS NOT NULL").collect()
+    assert [(r.report, r.content) for r in found] == [("bias_report", '{"rows": 4}')]
+
+
 def test_prompt_sinks(spark):
     df = spark.createDataFrame([("t", "p", 1)], "topic string, prompt string, extra int")
     path = scratch_path(spark, "sink")

@@ -28,6 +28,15 @@ def test_group_rates_and_weights(spark):
     assert attached.weight is None
 
 
+def test_rows_without_an_outcome_weigh_as_well(spark):
+    rows = [("a", 1), ("a", 0), ("a", None), ("b", 1), ("c", None)]
+    df = spark.createDataFrame(rows, "g string, y int")
+    weights = fairness.reweighting(df, "y", "g")
+    assert {r.group for r in weights.collect()} == {"a", "b"}
+    after = {r.group: r.w_positive_rate for r in fairness.weighted_rates(df, weights, "y", "g").collect()}
+    assert after == pytest.approx({"a": 1 / 3, "b": 1.0, "c": 0.0})
+
+
 def test_one_group_has_no_disparity(spark):
     df = spark.createDataFrame([("a", 1), ("a", 0)], "g string, y int")
     gap = fairness.disparity(fairness.group_rates(df, "y", "g")).first()

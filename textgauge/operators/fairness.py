@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textgauge.functions.numbers import clip
-from textgauge.session import small_side
 
 # The naive flag terms.
 FLAG_TERMS = ("pregnant", "age 62", "member of X group", "religion")
@@ -18,14 +17,11 @@ RATE_FLOOR = 1e-9
 WEIGHT_RATE_FLOOR = 1e-6
 WEIGHT_RANGE = (0.5, 2.0)
 
-# A table of weights is broadcast only when it has at most this many rows.
-MAX_BROADCAST_GROUPS = 100_000
-
 
 def group_sums(df: DataFrame, y_col: str, group_col: str) -> DataFrame:
-    """Sum and count of outcomes per group, null group included."""
+    """Sum and count of outcomes, and rows, per group; null group included."""
     return df.groupBy(F.col(group_col).alias("group")).agg(
-        F.sum(F.col(y_col).cast("double")).alias("sum_y"), F.count(y_col).alias("n")
+        F.sum(F.col(y_col).cast("double")).alias("sum_y"), F.count(y_col).alias("n"), F.count(F.lit(1)).alias("n_rows")
     )
 
 
@@ -73,6 +69,8 @@ def flag_rates(flagged: DataFrame, group_col: str) -> DataFrame:
 def reweighting(df: DataFrame, y_col: str, group_col: str) -> DataFrame:
     """A weight per group that moves its rate towards the global rate.
 
+    A group without any outcome has no rate and so no weight.
+
     The global rate comes from the grouped sums, so the table is aggregated
     once and no row-level join is needed.
     """
@@ -82,19 +80,21 @@ def reweighting(df: DataFrame, y_col: str, group_col: str) -> DataFrame:
     weight = clip(target / F.greatest(share, F.lit(WEIGHT_RATE_FLOOR)), *WEIGHT_RANGE)
     # Filtering on the weight keeps the filter above the aggregate, which the
     # target can then share.
-    named = F.when(F.col("group").isNotNull(), weight).alias("weight")
+    named = F.when(F.col("group").isNotNull() & share.isNotNull(), weight).alias("weight")
     return sums.select("group", named).where("weight is not null")
 
 
 def attach_weights(df: DataFrame, weights: DataFrame, group_col: str) -> DataFrame:
-    """Each row with the weight of its group, null for an unknown group."""
+    """Each row with the weight of its group, null for an unknown group.
+
+    One row per group: adaptive execution measures that side and chooses the join.
+    """
     named = weights.select(F.col("group").alias("_group"), "weight")
-    named = small_side(named, MAX_BROADCAST_GROUPS, "weights")
     return df.join(named, F.col(group_col) == F.col("_group"), "left").drop("_group")
 
 
 def weighted_rates(df: DataFrame, weights: DataFrame, y_col: str, group_col: str) -> DataFrame:
-    """Weighted positive rate per group.
+    """Weighted positive rate per group: rows without an outcome weigh as well.
 
     A group's weight is constant, so it is applied to the group's sums instead
     of its rows. For the same reason it cancels out of the ratio.
@@ -102,5 +102,6 @@ def weighted_rates(df: DataFrame, weights: DataFrame, y_col: str, group_col: str
     sums = group_sums(df.where(F.col(group_col).isNotNull()), y_col, group_col).alias("s")
     joined = sums.join(weights.alias("w"), F.col("s.group") == F.col("w.group"), "left")
     weight = F.coalesce(F.col("w.weight"), F.lit(0.0))
-    weighted = weight * F.col("s.sum_y") / F.greatest(weight * F.col("s.n"), F.lit(RATE_FLOOR))
+    positive = F.coalesce(F.col("s.sum_y"), F.lit(0.0))
+    weighted = weight * positive / F.greatest(weight * F.col("s.n_rows"), F.lit(RATE_FLOOR))
     return joined.select(F.col("s.group").alias("group"), weighted.alias("w_positive_rate"))

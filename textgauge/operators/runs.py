@@ -11,11 +11,13 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The nested form of a manifest.
+# The nested form of a manifest. An artifact is an object or a
+# plain path; read as text, an object is its own JSON.
 MANIFEST_SCHEMA = (
     "generated_at_utc string, status string, steps array<struct<name string, command array<string>, stdout string, "
-    "stderr string, artifacts array<struct<path string, exists boolean, bytes bigint>>>>"
+    "stderr string, artifacts array<string>>>"
 )
+ARTIFACT = "path string, exists boolean, bytes bigint"
 
 # Which step of a run leaves which report.
 REPORTS = {
@@ -28,19 +30,33 @@ UNKNOWN = "unknown"
 
 
 def artifact_rows(manifests: DataFrame, *run_cols: str) -> DataFrame:
-    """One row per artifact of nested manifests; steps without any are kept."""
-    steps = manifests.select(*run_cols, F.posexplode("steps").alias("step_no", "step"))
-    return steps.select(
+    """One row per artifact of nested manifests.
+
+    Steps without artifacts and runs without steps are kept, with nulls. Of a
+    plain path, neither existence nor size is known.
+    """
+    steps = manifests.select(*run_cols, F.posexplode_outer("steps").alias("step_no", "step"))
+    rows = steps.select(
         *run_cols, "step_no", F.col("step.name").alias("step"), F.posexplode_outer("step.artifacts").alias("artifact_no", "artifact")
-    ).select(*run_cols, "step_no", "step", "artifact_no", "artifact.path", "artifact.exists", "artifact.bytes")
+    )
+    text = F.col("artifact")
+    parsed = F.when(F.startswith(F.ltrim(text), F.lit("{")), F.from_json(text, ARTIFACT)).when(
+        text.isNotNull(), F.struct(text.alias("path"), F.lit(None).cast("boolean").alias("exists"), F.lit(None).cast("bigint").alias("bytes"))
+    )
+    return rows.withColumn("artifact", parsed).select(
+        *run_cols, "step_no", "step", "artifact_no", "artifact.path", "artifact.exists", "artifact.bytes"
+    )
 
 
 def step_summary(artifacts: DataFrame, *run_cols: str) -> DataFrame:
-    """Artifacts, missing artifacts and bytes per run and step."""
+    """Artifacts, artifacts recorded as missing, and bytes per run and step.
+
+    A step is its place in the run, as names may repeat.
+    """
     present = F.col("path").isNotNull()
-    return artifacts.groupBy(*run_cols, "step").agg(
+    return artifacts.groupBy(*run_cols, "step_no", "step").agg(
         F.count_if(present).alias("artifacts"),
-        F.count_if(present & ~F.coalesce("exists", F.lit(False))).alias("missing"),
+        F.count_if(present & ~F.coalesce("exists", F.lit(True))).alias("missing"),
         F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
     )
 
@@ -51,7 +67,7 @@ def run_summary(artifacts: DataFrame, *run_cols: str) -> DataFrame:
         step_summary(artifacts, *run_cols)
         .groupBy(*run_cols)
         .agg(
-            F.count(F.lit(1)).alias("steps"),
+            F.count("step_no").alias("steps"),
             F.sum("artifacts").alias("artifacts"),
             F.sum("missing").alias("missing"),
             F.sum("bytes").alias("bytes"),
@@ -60,16 +76,33 @@ def run_summary(artifacts: DataFrame, *run_cols: str) -> DataFrame:
 
 
 def missing_artifacts(artifacts: DataFrame) -> DataFrame:
-    return artifacts.where(F.col("path").isNotNull() & ~F.coalesce("exists", F.lit(False)))
+    return artifacts.where(F.col("path").isNotNull() & ~F.coalesce("exists", F.lit(True)))
+
+
+def uri(path: Column, root: str | None = None) -> Column:
+    """A path in one absolute form: ``file:/...`` or another scheme.
+
+    A relative path is taken below ``root``; without a root it stays as it is.
+    """
+    below = path if root is None else F.concat(F.lit(root.rstrip("/") + "/"), path)
+    placed = F.when(path.rlike("^([A-Za-z][A-Za-z0-9+.-]*:|/)"), path).otherwise(below)
+    named = F.when(F.startswith(placed, F.lit("/")), F.concat(F.lit("file:"), placed)).otherwise(placed)
+    return F.regexp_replace(named, "^file:/+", "file:/")
 
 
 def report_paths(
-    artifacts: DataFrame, run_col: str, base_dir_col: str, reports: Mapping[str, tuple[str, str]] = REPORTS
+    artifacts: DataFrame,
+    run_col: str,
+    base_dir_col: str,
+    reports: Mapping[str, tuple[str, str]] = REPORTS,
+    root: str | None = None,
 ) -> DataFrame:
     """(run, report, path): the step's artifact with the suffix, else the file
     of that name in the run's own folder.
 
-    Of several matching artifacts the first in manifest order is taken.
+    The first step of the name counts, and its first matching artifact. Paths
+    are absolute, in the form the readers give; relative artifacts lie below
+    ``root``.
     """
     wanted = F.array(
         *[
@@ -78,13 +111,17 @@ def report_paths(
         ]
     )
     candidates = artifacts.select(run_col, base_dir_col, "step_no", "step", "artifact_no", "path", F.inline(wanted))
-    matches = (F.col("step") == F.col("_step")) & F.endswith("path", F.col("_suffix"))
+    named = F.col("step") == F.col("_step")
+    matches = named & F.endswith("path", F.col("_suffix"))
+    found = F.when(F.col("found.step_no") == F.col("first"), F.col("found.path"))
     return (
         candidates.groupBy(run_col, "report", "_suffix")
-        .agg(F.min(F.when(matches, F.struct("step_no", "artifact_no", "path"))).alias("found"), F.min(base_dir_col).alias("base_dir"))
-        .select(
-            run_col, "report", F.coalesce("found.path", F.concat_ws("/", "base_dir", "_suffix")).alias("path")
+        .agg(
+            F.min(F.when(matches, F.struct("step_no", "artifact_no", "path"))).alias("found"),
+            F.min(F.when(named, F.col("step_no"))).alias("first"),
+            F.min(base_dir_col).alias("base_dir"),
         )
+        .select(run_col, "report", uri(F.coalesce(found, F.concat_ws("/", "base_dir", "_suffix")), root).alias("path"))
     )
 
 

@@ -26,7 +26,8 @@ SUMS_TYPE = "array<struct<category:string,hits:bigint,total:double>>"
 
 
 def denied_terms(text: Column, denylist: Sequence[str]) -> Column:
-    """The denylist terms that occur in a text, ignoring case; one each."""
+    """The denylist terms that occur in a text, ignoring case; one each, empty ones none."""
+    denylist = [term for term in denylist if term]
     if not denylist:
         return array_of([])
     low = F.lower(text)

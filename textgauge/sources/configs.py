@@ -6,13 +6,15 @@ configuration file or a table of them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgauge.operators.lexicon import DEFAULT_CATEGORY, DEFAULT_WEIGHT, MAX_INLINE_TERMS
+from textgauge.operators.lexicon import DEFAULT_CATEGORY, DEFAULT_WEIGHT
 
-SPEC = "struct<category:string,weight:double>"
-LISTED = "struct<terms:array<struct<pattern:string,term:string,category:string,weight:double>>>"
+# Weights are read as text, so that a number in quotes counts and other text is
+# an error instead of a missing weight.
+SPEC = "struct<category:string,weight:string>"
+LISTED = "struct<terms:array<struct<pattern:string,term:string,category:string,weight:string>>>"
 
 
 def read_documents(spark: SparkSession, path: str, column: str = "document") -> DataFrame:
@@ -27,13 +29,13 @@ def parse_lexicons(df: DataFrame, column: str = "document", *kept: str) -> DataF
     shorthand maps terms to their category and weight. Entries without a term
     are skipped.
     """
-    listed = F.from_json(column, LISTED).getField("terms")
+    in_list = F.from_json(column, LISTED).getField("terms")
     mapped = F.map_entries(F.from_json(column, f"map<string,{SPEC}>"))
     is_listed = F.get_json_object(column, "$.terms[0]").isNotNull() | (
         F.get_json_object(column, "$.terms") == "[]"
     )
     from_list = F.transform(
-        listed,
+        in_list,
         lambda e, i: F.struct(
             F.coalesce(F.nullif(e.pattern, F.lit("")), e.term).alias("term"), e.category, e.weight, i.alias("pos")
         ),
@@ -45,7 +47,7 @@ def parse_lexicons(df: DataFrame, column: str = "document", *kept: str) -> DataF
     entries = (
         F.when(is_listed, from_list)
         .when(mapped.isNotNull(), from_map)
-        .otherwise(F.raise_error(F.lit("Unsupported custom lexicon format.")))
+        .otherwise(F.raise_error(F.lit("a lexicon is a list of terms or a map of them")))
     )
     return (
         df.select(*kept, F.inline(entries).alias("term", "category", "weight", "pos"))
@@ -54,12 +56,19 @@ def parse_lexicons(df: DataFrame, column: str = "document", *kept: str) -> DataF
             *kept,
             "term",
             F.coalesce("category", F.lit(DEFAULT_CATEGORY)).alias("category"),
-            F.coalesce("weight", F.lit(DEFAULT_WEIGHT)).alias("weight"),
+            number(F.col("weight")).alias("weight"),
             "pos",
         )
     )
 
 
+def number(text: Column) -> Column:
+    """A weight given as text; absent means the default, anything else must be a number."""
+    value = text.try_cast("double")
+    bad = F.raise_error(F.concat(F.lit("not a weight: "), text)).cast("double")
+    return F.when(text.isNull(), F.lit(DEFAULT_WEIGHT)).otherwise(F.coalesce(value, bad))
+
+
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     return parse_lexicons(read_documents(spark, path))
 
@@ -70,19 +79,23 @@ def clean_terms(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def read_terms(spark: SparkSession, path: str | None) -> DataFrame:
-    """An allowlist or denylist, one term per line; none when there is no file."""
+    """(value, pos): an allowlist or denylist, one term per line; none when there is no file.
+
+    ``pos`` grows with the place in the file, as an allowlist is applied in order.
+    """
     if not path or not path_exists(spark, path):
-        return spark.range(0).select(F.lit("").alias("value"))
-    return clean_terms(spark.read.text(path))
+        return spark.range(0).select(F.lit("").alias("value"), F.col("id").alias("pos"))
+    return clean_terms(spark.read.text(path).withColumn("pos", F.monotonically_increasing_id()))
+
 
+def listed(df: DataFrame, column: str, order_col: str | None = "pos") -> list[str]:
+    """A configuration table as a list, in its order.
 
-def bounded_list(df: DataFrame, column: str, order_col: str | None = None, bound: int = MAX_INLINE_TERMS) -> list[str]:
-    """A short configuration table as a list; the read stops one row past the bound."""
+    The lists go into an expression, so they are held by the driver whole; that
+    is for configuration, whatever its length.
+    """
     ordered = df.orderBy(order_col) if order_col else df
-    rows = ordered.select(column).limit(bound + 1).collect()
-    if len(rows) > bound:
-        raise ValueError(f"more than {bound} entries")
-    return [r[0] for r in rows]
+    return [r[0] for r in ordered.select(column).collect()]
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -97,10 +110,10 @@ def parse_templates(df: DataFrame, column: str = "document", *kept: str) -> Data
     """
     bare = F.from_json(column, "array<string>")
     wrapped = F.from_json(column, "struct<templates:array<string>>").getField("templates")
-    listed = F.when(F.startswith(F.ltrim(F.col(column)), F.lit("[")), bare).otherwise(wrapped)
-    good = listed.isNotNull() & F.forall(listed, lambda t: t.isNotNull() & (F.trim(t) != ""))
-    checked = F.when(good, listed).otherwise(
-        F.raise_error(F.lit("Templates must be a non-empty list of strings."))
+    found = F.when(F.startswith(F.ltrim(F.col(column)), F.lit("[")), bare).otherwise(wrapped)
+    good = found.isNotNull() & F.forall(found, lambda t: t.isNotNull() & (F.trim(t) != ""))
+    checked = F.when(good, found).otherwise(
+        F.raise_error(F.lit("expected a list of templates, none of them blank"))
     )
     return df.select(*kept, F.posexplode(checked).alias("tmpl_i", "tmpl"))
 

@@ -5,15 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def table(spark: SparkSession, folder: str, name: str, spread_on: str | None = None) -> DataFrame:
-    """Read ``folder/name.parquet``.
-
-    With ``spread_on``, a table stored in fewer pieces than there are cores is
-    spread by that column, since work on its texts would leave cores idle. Such
-    a table is small by definition; a large one is left where it lies.
-    """
-    df = spark.read.parquet(f"{folder}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread_on and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, spread_on)
-    return df
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """Read ``folder/name.parquet``; how it is split is up to spark.sql.files.*."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")

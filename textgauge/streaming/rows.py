@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from textgauge.operators.lexicon import Lexicon
 from textgauge.operators.scoring import score_rows
-from textgauge.session import scratch_path
 
 
 def flagged_stream(texts: DataFrame, lexicon: Lexicon, **options) -> DataFrame:
@@ -19,9 +18,12 @@ def flagged_stream(texts: DataFrame, lexicon: Lexicon, **options) -> DataFrame:
     return score_rows(texts, lexicon, **options).where("flagged")
 
 
-def append_to(stream: DataFrame, path: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Append a stream to a Parquet folder until its present input is used up."""
-    checkpoint = checkpoint or scratch_path(stream.sparkSession, "stream")
+def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append a stream to a Parquet folder until its present input is used up.
+
+    ``checkpoint`` is the stream's own folder: a later run with the same one
+    goes on where this one ended and appends nothing twice.
+    """
     return (
         stream.writeStream.format("parquet")
         .option("path", path)

@@ -18,13 +18,13 @@ from textgauge.sources.tables import table
 from textgauge.workload.registry import documents, labelled, query
 
 SCORE_SQL = (
-    "WITH s AS (SELECT d.doc_id, d.text, l.quality AS label, round(least(d.n_chars, 5000) / 5000.0::DOUBLE, 4) AS score "
+    "WITH s AS (SELECT d.doc_id, d.text, l.quality AS label, round(d.n_chars / (d.n_chars + 1000.0::DOUBLE), 9) AS score "
     "FROM documents d JOIN labels l USING (doc_id)), p AS (SELECT *, CAST(score >= 0.5 AS INTEGER) AS prediction FROM s) "
 )
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
-    score = F.round(F.least(F.col("n_chars"), F.lit(5000)) / F.lit(5000.0), 4)
+    score = F.round(F.col("n_chars") / (F.col("n_chars") + F.lit(1000.0)), 9)
     rows = labelled(spark, sf).select("doc_id", "label", score.alias("score"))
     return rows.withColumn("prediction", predict(F.col("score")))
 

@@ -85,14 +85,15 @@ def prompt_batches(spark: SparkSession, sf: str) -> DataFrame:
 def lexicon_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Both lexicon shapes, with missing categories, weights and terms."""
     weight = (F.col("p_size") / 4.0).alias("weight")
+    quoted = weight.cast("string").alias("weight")
     listed = F.struct(
         F.array(
             F.struct(F.col("p_name").alias("pattern"), F.lit(None).cast("string").alias("term"),
-                     F.col("p_type").alias("category"), weight),
+                     F.col("p_type").alias("category"), quoted),
             F.struct(F.lit("").alias("pattern"), F.col("p_brand").alias("term"),
-                     F.lit(None).cast("string").alias("category"), F.lit(None).cast("double").alias("weight")),
+                     F.lit(None).cast("string").alias("category"), F.lit(None).cast("string").alias("weight")),
             F.struct(F.lit(None).cast("string").alias("pattern"), F.lit(None).cast("string").alias("term"),
-                     F.lit("skipped").alias("category"), weight),
+                     F.lit("skipped").alias("category"), quoted),
         ).alias("terms")
     )
     mapped = F.create_map("p_name", F.struct(weight))
@@ -106,7 +107,7 @@ def term_lists(spark: SparkSession, sf: str) -> DataFrame:
     """A word list file with padding and blank lines; a missing file is empty."""
     path = scratch_path(spark, "terms")
     table(spark, sf, "part").select(F.concat(F.lit("  "), "p_name", F.lit(" \n  "))).write.text(path)
-    terms = configs.read_terms(spark, path).union(configs.read_terms(spark, path + "-missing"))
+    terms = configs.read_terms(spark, path).unionByName(configs.read_terms(spark, path + "-missing"))
     return terms.select(F.col("value").alias("term")).distinct()
 
 
@@ -142,8 +143,8 @@ DIGESTED = {
     "pages": ("page_id", "url", "html"),
 }
 DIGEST_SQL = " UNION ALL ".join(
-    f"SELECT '{name}' AS path, count(*) AS \"rows\", CAST(sum(CAST(('0x' || md5(concat_ws(chr(31), "
-    + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in columns)
+    f"SELECT '{name}' AS path, count(*) AS \"rows\", CAST(sum(CAST(('0x' || md5(concat("
+    + ", ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns)
     + f"))[:15]) AS BIGINT)) AS VARCHAR) AS digest FROM {name}"
     for name, columns in DIGESTED.items()
 )

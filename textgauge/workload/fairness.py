@@ -22,7 +22,8 @@ DISPARITY = (
     "END, 9) AS dir_ratio, round(CASE WHEN count(*) >= 2 THEN max({r}) - min({r}) ELSE 'nan'::DOUBLE END, 9) AS abs_diff "
 )
 WEIGHTS = (
-    "weights AS (SELECT g, least(greatest((SELECT avg({y}) FROM f) / greatest(r, 1e-6), 0.5), 2.0) AS w FROM rates) "
+    "weights AS (SELECT g, least(greatest((SELECT avg({y}) FROM f) / greatest(r, 1e-6), 0.5), 2.0) AS w FROM rates "
+    "WHERE r IS NOT NULL) "
 )
 
 
@@ -82,13 +83,23 @@ def rows_with_weights(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(fairness.attach_weights(rows, weights, "lang").select("doc_id", "lang", "weight"), "weight")
 
 
-WEIGHTED = "weighted AS (SELECT g, sum(toxic * w) / greatest(sum(w), 1e-9) AS wr FROM f JOIN weights ON lang = g GROUP BY g) "
+WEIGHTED = ("weighted AS (SELECT lang AS g, coalesce(sum(toxic * w), 0) / greatest(coalesce(sum(w), 0), 1e-9) AS wr "
+            "FROM f LEFT JOIN weights ON lang = g GROUP BY lang) ")
 
 
-@query("A17_weighted_rates", FRAME + ", " + RATES.format(y="toxic") + ", " + WEIGHTS.format(y="toxic") + ", " + WEIGHTED
+GAPS = FRAME.replace("l.toxic FROM", "CASE WHEN doc_id % 9 > 0 AND d.lang <> 'es' THEN l.toxic END AS toxic FROM")
+
+
+def with_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of which some, and all of one language, have no outcome."""
+    known = (F.col("doc_id") % 9 > 0) & (F.col("lang") != "es")
+    return labelled(spark, sf, "toxic").withColumn("label", F.when(known, F.col("label")))
+
+
+@query("A17_weighted_rates", GAPS + ", " + RATES.format(y="toxic") + ", " + WEIGHTS.format(y="toxic") + ", " + WEIGHTED
        + 'SELECT g AS "group", round(wr, 9) AS w_positive_rate FROM weighted')
 def weighted_rates(spark: SparkSession, sf: str) -> DataFrame:
-    rows = labelled(spark, sf, "toxic")
+    rows = with_gaps(spark, sf)
     weights = fairness.reweighting(rows, "label", "lang")
     return rounded(fairness.weighted_rates(rows, weights, "label", "lang"), "w_positive_rate")
 

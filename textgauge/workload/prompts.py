@@ -29,7 +29,7 @@ MIXED_TEMPLATES = (
 
 def topics(spark: SparkSession, sf: str) -> DataFrame:
     """A topic per part; partition-wise work, so few files are spread."""
-    return table(spark, sf, "part", spread_on="p_partkey").select(
+    return table(spark, sf, "part").select(
         "p_partkey",
         F.col("p_name").alias("topic"),
         F.col("p_type").alias("domain"),
@@ -315,28 +315,35 @@ def roles_in_templates(spark: SparkSession, sf: str) -> DataFrame:
     return prompts.role_templates(roles, "role", prompts.ROLE_TEMPLATES)
 
 
-SHOTS = """WITH pairs AS (SELECT conv_id, turn, q, a FROM (SELECT conv_id, turn, role, text AS q,
-lead(role) OVER w AS next_role, lead(text) OVER w AS a FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
-WHERE role = 'user' AND next_role = 'assistant') """
+def gappy_turns(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations, a third of them with gaps of whole blocks between turns."""
+    turn = F.when(F.col("conv_id") % 3 == 0, F.col("turn") * 300).otherwise(F.col("turn"))
+    return table(spark, sf, "conversations").withColumn("turn", turn)
 
 
-@query("F14_few_shot_pairs", SHOTS + "SELECT * FROM pairs")
+TURNS = """WITH t AS (SELECT conv_id, CASE WHEN conv_id % 3 = 0 THEN turn * 300 ELSE turn END AS turn, role, text FROM conversations),
+n AS (SELECT *, lag(role, 1) OVER w AS r1, lag(role, 2) OVER w AS r2, lag(role, 3) OVER w AS r3, lag(role, 4) OVER w AS r4,
+lag(text, 1) OVER w AS x1, lag(text, 2) OVER w AS x2, lag(text, 3) OVER w AS x3, lag(text, 4) OVER w AS x4,
+lead(role) OVER w AS next_role, lead(text) OVER w AS next_text
+FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)) """
+
+
+@query("F14_few_shot_pairs", TURNS + "SELECT conv_id, turn, text AS q, next_text AS a FROM n WHERE role = 'user' "
+       "AND next_role = 'assistant'")
 def few_shot_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return fewshot.shot_pairs(table(spark, sf, "conversations"))
+    return fewshot.shot_pairs(gappy_turns(spark, sf))
 
 
 @query(
     "F14_few_shot_prompts",
-    SHOTS + "SELECT u.conv_id, u.turn, trim(u.text) AS user, trim(coalesce(s.text, 'Answer briefly.')) AS system, "
-    "concat_ws(' | ', CASE WHEN p2.q IS NOT NULL THEN p2.q || ' -> ' || p2.a END, "
-    "CASE WHEN p1.q IS NOT NULL THEN p1.q || ' -> ' || p1.a END) AS shots "
-    "FROM conversations u LEFT JOIN pairs p1 ON p1.conv_id = u.conv_id AND p1.turn = u.turn - 2 "
-    "LEFT JOIN pairs p2 ON p2.conv_id = u.conv_id AND p2.turn = u.turn - 4 "
+    TURNS + "SELECT u.conv_id, u.turn, trim(u.text) AS user, trim(coalesce(s.text, 'Answer briefly.')) AS system, "
+    "concat_ws(' | ', CASE WHEN r4 = 'user' AND r3 = 'assistant' THEN x4 || ' -> ' || x3 END, "
+    "CASE WHEN r2 = 'user' AND r1 = 'assistant' THEN x2 || ' -> ' || x1 END) AS shots FROM n u "
     "LEFT JOIN (SELECT conv_id, arg_min(text, turn) AS text FROM conversations WHERE role = 'system' GROUP BY conv_id) s "
     "ON s.conv_id = u.conv_id WHERE u.role = 'user'",
 )
 def few_shot_prompts(spark: SparkSession, sf: str) -> DataFrame:
-    built = fewshot.few_shot_prompts(table(spark, sf, "conversations"), default_system="Answer briefly.")
+    built = fewshot.few_shot_prompts(gappy_turns(spark, sf), default_system="Answer briefly.")
     shown = F.transform("shots", lambda s: F.concat(s.q, F.lit(" -> "), s.a))
     return built.select("conv_id", "turn", "user", "system", F.array_join(shown, " | ").alias("shots"))
 

@@ -29,7 +29,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents", spread_on="doc_id")
+    return table(spark, sf, "documents")
 
 
 def labelled(spark: SparkSession, sf: str, label: str = "quality") -> DataFrame:

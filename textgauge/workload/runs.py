@@ -18,16 +18,20 @@ STEPS = list(runs.REPORTS.values())
 def manifests(spark: SparkSession, sf: str) -> DataFrame:
     """Nested manifests, built inside each order row.
 
-    Urgent runs keep their reports in an archive. Open ones never trained.
+    Urgent runs keep their reports in an archive. Open ones never trained, some
+    runs have no steps, some repeat a step's name, and some list plain paths.
     """
+    key = F.col("o_orderkey")
     folder = F.when(F.col("o_orderpriority") == "1-URGENT", "archive/").otherwise("runs/")
 
     def artifact(name: str) -> Column:
-        return F.struct(
-            F.concat(folder, F.col("o_orderkey").cast("string"), F.lit("/" + name)).alias("path"),
+        path = F.concat(folder, key.cast("string"), F.lit("/" + name))
+        known = F.struct(
+            path.alias("path"),
             (F.col("o_orderstatus") != "P").alias("exists"),
             F.round("o_totalprice").cast("bigint").alias("bytes"),
         )
+        return F.when(key % 7 == 0, path).otherwise(F.to_json(known))
 
     def step(name: str, artifacts: list[Column]) -> Column:
         return F.struct(
@@ -40,6 +44,9 @@ def manifests(spark: SparkSession, sf: str) -> DataFrame:
 
     steps = [step(name, [artifact("summary.md"), artifact(report)]) for name, report in STEPS]
     trained = F.when(F.col("o_orderstatus") == "O", F.array(*steps[:2])).otherwise(F.array(*steps))
+    again = F.array(step(STEPS[0][0], [artifact("summary.md")]))
+    trained = F.when(key % 5 == 0, F.concat(trained, again)).otherwise(trained)
+    trained = F.when(key % 22 == 0, F.slice(trained, 1, 0)).when(key % 11 != 0, trained)
     return table(spark, sf, "orders").select(
         F.col("o_orderkey").cast("string").alias("generated_at_utc"),
         F.when(F.col("o_orderstatus") == "P", "failed").otherwise("passed").alias("status"),
@@ -56,15 +63,18 @@ def artifacts(spark: SparkSession, sf: str) -> DataFrame:
 NAMED = ", ".join(f"({i}, '{step}', '{report}')" for i, (step, report) in enumerate(STEPS))
 FLAT = (
     f"WITH s AS (SELECT * FROM (VALUES {NAMED}) AS v(no, step, report)), "
+    "k AS (SELECT *, CASE WHEN o_orderkey % 11 = 0 THEN 0 WHEN o_orderstatus = 'O' THEN 2 ELSE 3 END AS n FROM orders), "
+    "t AS (SELECT k.*, no, step, report FROM k JOIN s ON no < n UNION ALL "
+    f"SELECT k.*, n, '{STEPS[0][0]}', NULL FROM k WHERE n > 0 AND o_orderkey % 5 = 0), "
     "a AS (SELECT o_orderkey AS run_id, no, step, CASE WHEN o_orderpriority = '1-URGENT' THEN 'archive/' ELSE 'runs/' END || "
-    "o_orderkey || '/' || f AS path, o_orderstatus <> 'P' AS ok, CAST(round(o_totalprice) AS BIGINT) AS bytes "
-    "FROM orders JOIN s ON no < CASE WHEN o_orderstatus = 'O' THEN 2 ELSE 3 END, "
-    "LATERAL (SELECT 'summary.md' AS f UNION ALL SELECT report) x) "
+    "o_orderkey || '/' || f AS path, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderstatus <> 'P' END AS ok, "
+    "CASE WHEN o_orderkey % 7 <> 0 THEN CAST(round(o_totalprice) AS BIGINT) END AS bytes "
+    "FROM t, LATERAL (SELECT 'summary.md' AS f UNION ALL SELECT report) x WHERE f IS NOT NULL) "
 )
 
 
-@query("S11_manifests", FLAT + "SELECT run_id, CASE WHEN ok THEN 'passed' ELSE 'failed' END AS status, "
-       "CAST(no AS INTEGER) AS step_no, step, path, ok AS \"exists\", bytes FROM a")
+@query("S11_manifests", FLAT + "SELECT o_orderkey AS run_id, CASE WHEN o_orderstatus <> 'P' THEN 'passed' ELSE 'failed' END AS status, "
+       "CAST(no AS INTEGER) AS step_no, step, path, ok AS \"exists\", bytes FROM orders LEFT JOIN a ON run_id = o_orderkey")
 def manifest_rows(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "manifests")
     manifests(spark, sf).write.json(path)
@@ -72,8 +82,9 @@ def manifest_rows(spark: SparkSession, sf: str) -> DataFrame:
     return runs.artifact_rows(back, "run_id", "status").drop("artifact_no")
 
 
-@query("A22_run_summary", FLAT + "SELECT run_id, count(DISTINCT step) AS steps, count(*) AS artifacts, "
-       "count(*) FILTER (NOT ok) AS missing, CAST(sum(bytes) AS BIGINT) AS bytes FROM a GROUP BY run_id")
+@query("A22_run_summary", FLAT + "SELECT o_orderkey AS run_id, count(DISTINCT no) AS steps, count(path) AS artifacts, "
+       "count(*) FILTER (NOT ok) AS missing, CAST(coalesce(sum(bytes), 0) AS BIGINT) AS bytes "
+       "FROM orders LEFT JOIN a ON run_id = o_orderkey GROUP BY o_orderkey")
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
     return runs.run_summary(artifacts(spark, sf), "run_id")
 
@@ -106,10 +117,11 @@ def report_paths(spark: SparkSession, sf: str) -> DataFrame:
 def attached_reports(spark: SparkSession, sf: str) -> DataFrame:
     """Only some runs left a bias report, and none in the archive."""
     stored = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(
-        F.concat(F.lit("runs/"), "o_orderkey", F.lit("/" + runs.REPORTS["bias_report"][1])).alias("path"),
+        F.concat(F.lit("file:///lab/runs/"), "o_orderkey", F.lit("/" + runs.REPORTS["bias_report"][1])).alias("path"),
         F.concat(F.lit("rows of "), "o_custkey").alias("content"),
     )
-    paths = runs.report_paths(artifacts(spark, sf), "run_id", "base_dir")
+    stored = stored.withColumn("path", runs.uri(F.col("path")))
+    paths = runs.report_paths(artifacts(spark, sf), "run_id", "base_dir", root="/lab")
     return runs.attach_reports(paths, stored).select("run_id", "report", "content")
 
 
