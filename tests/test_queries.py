@@ -9,9 +9,6 @@ from tests.compare import differences, duck
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
-# Searching fits dozens of models; ``test_training`` covers it on small data.
-SLOW = {"M5_grid_search", "M2_l1_regression", "M6_test_predictions", "K5_saved_model"}
-
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
 
@@ -28,7 +25,7 @@ def test_entry(spark):
     assert contract.entry(spark).columns == ["group", "total", "flagged", "flag_rate"]
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
     df = QUERIES[name](spark, FOLDER)
     if name in SQL:

@@ -102,7 +102,8 @@ def roc_curve(
     """
     counts = score_counts(df, label_col, score_col)
     ranked = running_totals(counts, "score", ["pos", "neg"], descending=True, lookahead=thin, buckets=buckets)
-    totals = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    # the counts were written for the ranks: the totals come from there, not from the source
+    totals = ranked.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     points = ranked
     if thin:
         is_first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A file's bytes pass through one row; larger data wants ``catalog.profile``.
+# A file's bytes pass through one row of at most 2 GiB; the default leaves room
+# for it in a task's memory. Larger data wants ``catalog.profile``.
 MAX_FILE_BYTES = 1 << 30
 
 
@@ -15,15 +16,20 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.{csv,json}")
     return files.select("path", F.col("length").alias("bytes")).orderBy("path")
 
 
-def file_fingerprints(spark: SparkSession, folder: str, pattern: str = "*.{csv,json}") -> DataFrame:
-    """SHA-256 of the raw bytes of each file, one task per group of files."""
+def file_fingerprints(
+    spark: SparkSession, folder: str, pattern: str = "*.{csv,json}", max_bytes: int = MAX_FILE_BYTES
+) -> DataFrame:
+    """SHA-256 of the raw bytes of each file, one task per group of files.
+
+    A file of more than ``max_bytes`` is an error.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
         .load(folder)
     )
-    digest = F.when(F.col("length") <= MAX_FILE_BYTES, F.sha2("content", 256)).otherwise(
+    digest = F.when(F.col("length") <= max_bytes, F.sha2("content", 256)).otherwise(
         F.raise_error(F.concat(F.lit("too large for one row, use a table digest: "), F.col("path")))
     )
     return files.select("path", F.col("length").alias("bytes"), digest.alias("sha256")).orderBy("path")

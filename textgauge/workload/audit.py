@@ -14,7 +14,7 @@ from textgauge.session import scratch_path
 from textgauge.sources import sinks
 from textgauge.sources.tables import table
 from textgauge.sources.texts import select_texts
-from textgauge.workload.registry import documents, query, values
+from textgauge.workload.registry import documents, placed, query, values
 
 # Terms that occur in the texts, on top of the built-in ones: words, phrases, a
 # term with punctuation and a new category for a built-in term.
@@ -247,9 +247,11 @@ def groups_by_source(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.group_metrics(strict, "source")
 
 
-@query("W10_groups_by_size", FULL + 'SELECT source AS "group", count(*) AS total FROM scored GROUP BY source')
+@query("W10_groups_by_size", FULL + 'SELECT *, row_number() OVER (ORDER BY total DESC, "group") AS place FROM '
+       '(SELECT source AS "group", count(*) AS total FROM scored GROUP BY source)')
 def groups_by_size(spark: SparkSession, sf: str) -> DataFrame:
-    return scoring.group_metrics(scored(spark, sf), "source").select("group", "total")
+    """The groups in order; there are as many as sources."""
+    return placed(scoring.group_metrics(scored(spark, sf), "source").select("group", "total"))
 
 
 @query("A6_categories_present", FULL + "SELECT DISTINCT category FROM percat")

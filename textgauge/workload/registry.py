@@ -38,6 +38,17 @@ def labelled(spark: SparkSession, sf: str, label: str = "quality") -> DataFrame:
     return documents(spark, sf).join(labels, "doc_id").withColumnRenamed(label, "label")
 
 
+def placed(ordered: DataFrame) -> DataFrame:
+    """Append ``place``: where each row of a short ordered result stands, from 1.
+
+    The rows are taken in the order they come, so the place shows whether the
+    operator ordered them; the result must be small, as a top list is.
+    """
+    rows = ordered.collect()
+    numbered = [(*row, k) for k, row in enumerate(rows, 1)]
+    return ordered.sparkSession.createDataFrame(numbered, ordered.schema.add("place", "long"))
+
+
 def values(rows: list[tuple], *columns: str) -> str:
     """A SQL VALUES list."""
 
