@@ -45,7 +45,7 @@ from textgauge.llm.common import bounded_batches, row_key
 LONG = 32_768
 #: Tokens on either side of a join at first; more than any special token's length.
 WINDOW = 32
-CACHED_WORDS = 400_000
+CACHED_WORDS = 120_000
 BLANKS = " \t\n\r\x0b\f"
 _BLANK = re.compile(f"[{BLANKS}]")
 

@@ -5,8 +5,9 @@ of each hash, drop lines over the threshold and put the others together again
 by position.
 
 Only (hash, document) pairs are shuffled to be counted, first by both and then
-by the hash with partial sums, so a line that every document holds is spread
-over all tasks. A document meets the list of its dropped positions by row key;
+by the hash with partial sums; lines that hold a thousandth of all rows are then
+joined by broadcast, so a line that every document holds never gathers in one
+task. A document meets the list of its dropped positions by row key;
 texts without dropped lines are passed on as they are.
 
 Defined results: a null or empty text is one empty line, kept. Documents are
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textgauge.llm.common import ascii_lower, packed, row_key, unpacked
+from textgauge.llm.common import ascii_lower, join_hot, packed, row_key, saved, unpacked
 from textgauge.session import once
 
 BLANKS = " \t\n\x0b\f\r"
@@ -45,9 +46,8 @@ def _keyed_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) ->
     )
 
 
-def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-    """(h1, h2, n_documents, keeper) of lines found in enough documents."""
-    lines = _keyed_lines(docs, id_col, text_col, min_chars)
+def repeated_lines(lines: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+    """(h1, h2, n_documents, keeper) of keyed lines found in enough documents."""
     counted = lines.groupBy("h1", "h2", "id").agg(F.lit(1).alias("one")).groupBy("h1", "h2")
     return counted.agg(F.count("one").alias("n_documents"), F.max("id").alias("keeper")).where(F.col("n_documents") >= min_documents)
 
@@ -56,10 +56,10 @@ def dedup_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS
 ) -> DataFrame:
     """All rows and columns of ``docs``, plus n_lines, n_dropped and kept_text (in place of columns of these names)."""
-    repeated = repeated_lines(docs, id_col, text_col, min_chars, min_documents).drop("n_documents")
+    lines = saved(_keyed_lines(docs, id_col, text_col, min_chars))
+    repeated = saved(repeated_lines(lines, min_documents))
     drops = (
-        _keyed_lines(docs, id_col, text_col, min_chars)
-        .join(repeated, ["h1", "h2"])
+        join_hot(lines, repeated, ["h1", "h2"], "n_documents", "inner")
         .where(~F.col("id").eqNullSafe(F.col("keeper")))
         .groupBy("rk")
         .agg(F.collect_set("pos").alias("drops"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgauge.llm.common import bounded_batches
+from textgauge.llm.common import arrow_rows, bounded_batches
 from textgauge.llm.hashed import BITS, sigmoid, word_grams
 
 MAX_ROWS = 6000
@@ -53,7 +53,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
 
     kind = docs.schema[id_col].dataType.simpleString()
     found = rows.select("_id", "label", "text").mapInArrow(vectors, f"id {kind}, label int, index binary, value binary")
-    return sorted((r for r in found.collect()), key=lambda r: (str(r["id"]), r["label"], r["index"]))
+    return sorted(arrow_rows(found), key=lambda r: (str(r["id"]), r["label"], r["index"].to_pybytes()))
 
 
 def fit_ftrl(rows: list, epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.5, seed: int = 7) -> tuple[np.ndarray, float]:

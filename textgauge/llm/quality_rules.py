@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgauge.llm.common import bounded_batches
+from textgauge.llm.common import arrow_rows, bounded_batches
 from textgauge.llm.hashed import BITS, char_gram_chunks, sigmoid, word_grams
 
 MAX_ROWS = 4000
@@ -173,7 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     kind = docs.schema[id_col].dataType.simpleString()
     found = rows.select("_id", "label", "text").mapInArrow(vectors, f"id {kind}, label int, index binary, value binary")
-    return fit_model(sorted(found.collect(), key=lambda r: (xxhash.xxh64_intdigest(str(r["id"])), r["label"], r["index"])))
+    return fit_model(sorted(arrow_rows(found), key=lambda r: (xxhash.xxh64_intdigest(str(r["id"])), r["label"], r["index"].size)))
 
 
 def judge(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -40,9 +40,9 @@ BITS = 3
 MAX_SPLIT = 50_000
 FAN = 8
 #: (searcher, node) pairs held at once.
-FRONTIER = 1 << 20
+FRONTIER = 1 << 18
 #: Searchers between two merges of groups.
-BLOCK = 1 << 12
+BLOCK = 1 << 10
 #: Hashes of a long text whose bits are counted at once.
 _CHUNK = 1 << 18
 
@@ -159,8 +159,9 @@ class GrayIndex:
             level += 1
             total = int(size.sum())
             if total > FRONTIER and len(who) > 1:
-                for half in np.array_split(np.arange(len(who)), 2):
-                    self._descend(level, *self._children(who[half], first[half], size[half], sums[half]), bits, uniform)
+                for a in range(0, len(who), FRONTIER // FAN):
+                    part = slice(a, a + FRONTIER // FAN)
+                    self._descend(level, *self._children(who[part], first[part], size[part], sums[part]), bits, uniform)
                 return
             who, node, sums = self._children(who, first, size, sums)
 
