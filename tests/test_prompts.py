@@ -99,7 +99,7 @@ def test_builtin_templates_are_strong(spark):
 def test_rubric_values(spark):
     good, bad = score(
         spark,
-        [("Create a step-by-step checklist. Include metrics for a junior dev.", "junior dev"), ("Explain caching.", None)],
+        [("List exactly 4 steps in a decision matrix, with success metrics, for a new nurse.", "new nurse"), ("Describe rivers.", None)],
         "prompt string, audience string",
     ).collect()
     assert (good.score, good.grade, good.recommendations) == (4, "strong", [])
@@ -108,20 +108,21 @@ def test_rubric_values(spark):
 
 
 def test_summary_values(spark):
-    rows = [("a", 4, "strong", (1, 1, 1, 1), []), ("b", 2, "usable", (1, 1, 0, 0), ["x"]), ("c", 1, "thin", (1, 0, 0, 0), ["y"])]
+    rows = [("d", 0, "thin", (0, 0, 0, 0), ["z"]), ("a", 4, "strong", (1, 1, 1, 1), []), ("c", 1, "thin", (0, 1, 0, 0), ["y"]),
+            ("b", 3, "strong", (1, 1, 1, 0), ["x"])]
     df = spark.createDataFrame(
         rows,
         "prompt string, score int, grade string, rubric struct<specificity:int,structure:int,audience:int,"
         "evaluation_ready:int>, recommendations array<string>",
     )
-    assert tuple(rubric.average_score(df).first()) == (3, 2.333)
-    assert [tuple(r) for r in rubric.grade_counts(df).collect()] == [("strong", 1), ("thin", 1), ("usable", 1)]
+    assert tuple(rubric.average_score(df).first()) == (4, 2.0)
+    assert [tuple(r) for r in rubric.grade_counts(df).collect()] == [("strong", 2), ("thin", 2)]
     shares = {r.dimension: r.coverage for r in rubric.coverage(df).collect()}
-    assert (shares["specificity"], shares["evaluation_ready"]) == (1.0, 0.333)
+    assert shares == {"specificity": 0.5, "structure": 0.75, "audience": 0.5, "evaluation_ready": 0.25}
     assert rubric.top_prompts(df).first().prompt == "a"
-    assert [r.prompt for r in rubric.needs_attention(df).collect()] == ["c", "b"]
+    assert [r.prompt for r in rubric.needs_attention(df).collect()] == ["d", "c", "b"]
     # The limit comes before the filter.
-    assert [r.prompt for r in rubric.needs_attention(df, limit=1).collect()] == ["c"]
+    assert [r.prompt for r in rubric.needs_attention(df, limit=1).collect()] == ["d"]
     assert tuple(rubric.average_score(df.limit(0)).first()) == (0, 0.0)
 
 

@@ -18,7 +18,7 @@ def test_csv_texts(spark, tmp_path):
     path = write(tmp_path, "t.csv", 'id,grp,text\n1,a,"line one\nsays ""hi"""\n2,,plain\n')
     rows = texts.read_csv_texts(spark, path, id_col="id", group_col="absent").collect()
     assert [(r.id, r.text) for r in rows] == [("1", 'line one\nsays "hi"'), ("2", "plain")]
-    with pytest.raises(ValueError, match="Missing text column 'note'"):
+    with pytest.raises(ValueError, match="no column 'note'"):
         texts.read_csv_texts(spark, path, text_col="note")
 
 
@@ -29,26 +29,26 @@ def test_topics_are_trimmed(spark, tmp_path):
 
 
 def test_column_json(spark, tmp_path):
-    good = write(tmp_path, "a.json", json.dumps({"text": ["good", "bad"], "label": [1, 0], "language": "en"}, indent=1))
-    assert [tuple(r) for r in texts.read_column_json(spark, good).collect()] == [("good", 1), ("bad", 0)]
-    with pytest.raises(ValueError, match="Unsupported JSON format"):
+    good = write(tmp_path, "a.json", json.dumps({"text": ["warm rain", "no", "hail"], "label": [0, 1, 1], "made": "here"}, indent=1))
+    assert [tuple(r) for r in texts.read_column_json(spark, good).collect()] == [("warm rain", 0), ("no", 1), ("hail", 1)]
+    with pytest.raises(ValueError, match="a list of texts and a list of labels"):
         texts.read_column_json(spark, write(tmp_path, "b.json", '{"text": ["a"]}'))
     with pytest.raises(Exception, match="differ in length"):
         texts.read_column_json(spark, write(tmp_path, "c.json", '{"text": ["a", "b"], "label": [1]}')).collect()
 
 
 def test_jsonl(spark, tmp_path):
-    path = write(tmp_path, "a.jsonl", '{"prompt":"good","label":1}\n\n{"prompt":"bad","label":0}\n')
-    assert [tuple(r) for r in texts.read_jsonl_texts(spark, path).collect()] == [("good", 1), ("bad", 0)]
+    path = write(tmp_path, "a.jsonl", '{"prompt":"snow","label":0}\n\n{"label":1,"prompt":"ice"}\n')
+    assert [tuple(r) for r in texts.read_jsonl_texts(spark, path).collect()] == [("snow", 0), ("ice", 1)]
 
 
 def test_prompt_batches(spark, tmp_path):
-    path = write(tmp_path, "p.json", json.dumps(["Explain caching.", {"prompt": "Use exactly 5 bullets.", "topic": "Caching"}]))
+    path = write(tmp_path, "p.json", json.dumps([{"prompt": "Draw a map.", "topic": "Maps"}, "List three rivers.", {"prompt": "Name a lake."}]))
     rows = prompts.read_prompts(spark, path).orderBy("pos").collect()
-    assert [(r.prompt, r.topic) for r in rows] == [("Explain caching.", None), ("Use exactly 5 bullets.", "Caching")]
+    assert [(r.prompt, r.topic) for r in rows] == [("Draw a map.", "Maps"), ("List three rivers.", None), ("Name a lake.", None)]
     assert prompts.read_prompts(spark, write(tmp_path, "e.json", "[]")).count() == 0
-    for bad, message in (('{"prompt": "x"}', "must be a JSON array"), ("[1]", "string or object"), ('[{"prompt": 2}]', "string or object"),
-                         ('[{"topic": "x"}]', "string or object")):
+    for bad, message in (('{"prompt": "x"}', "a prompt batch is a list"), ("[1]", "a text or has one"), ('[{"prompt": 2}]', "a text or has one"),
+                         ('[{"topic": "x"}]', "a text or has one")):
         with pytest.raises(Exception, match=message):
             prompts.read_prompts(spark, write(tmp_path, "bad.json", bad)).collect()
 
@@ -144,9 +144,9 @@ def test_contract(spark):
         contracts.checked(labelled(spark, [1, 1]))
     with pytest.raises(ValueError, match="at least 2 rows"):
         contracts.checked(labelled(spark, [1, 0, 1]))
-    with pytest.raises(ValueError, match="no usable rows"):
+    with pytest.raises(ValueError, match="lacks a text or a label"):
         contracts.checked(labelled(spark, [None]))
-    with pytest.raises(ValueError, match="missing required"):
+    with pytest.raises(ValueError, match="no column named"):
         contracts.checked(spark.range(2).toDF("text"))
     assert contracts.checked(labelled(spark, [0, 0, 1, 1, None])).count() == 4
     assert contracts.violations(labelled(spark, [0, 0, 1, 1])).count() == 0

@@ -54,10 +54,6 @@ DEFAULT_WEIGHT = 1.0
 DENY_CATEGORY = "denylist"
 DENY_WEIGHT = 1.0
 
-# Lexicons up to this size travel inside the query as literals. Larger ones stay
-# DataFrames and are joined, see ``matching.match_terms``.
-MAX_INLINE_TERMS = 2000
-
 FRAME_SCHEMA = "term string, category string, weight double, pos int"
 
 
@@ -75,14 +71,17 @@ class Entry:
 
 
 class Lexicon:
-    """An ordered, bounded list of terms that is compiled into expressions."""
+    """An ordered list of terms that is compiled into expressions.
+
+    The terms travel inside the query, so its size and the work per text grow
+    with them; lexicons of many thousands are better left as tables and joined,
+    see ``matching.match_terms``.
+    """
 
     def __init__(self, terms: Iterable[tuple[str, str, float]], case_sensitive: bool = False):
         merged: dict[str, tuple[str, float]] = {}
         for term, category, weight in terms:
             merged[term] = (category, float(weight))
-        if len(merged) > MAX_INLINE_TERMS:
-            raise ValueError(f"{len(merged)} terms: use matching.match_terms for lexicons this large")
         self.case_sensitive = case_sensitive
         # Texts are always lower-cased before matching. A case-sensitive term is
         # compared as written, so one with capitals never matches.
@@ -97,8 +96,8 @@ class Lexicon:
 
     @classmethod
     def from_frame(cls, frame: DataFrame, case_sensitive: bool = False) -> Lexicon:
-        """Read a small lexicon table; the read stops one row past the bound."""
-        rows = frame.orderBy("pos", "term").limit(MAX_INLINE_TERMS + 1).collect()
+        """Read a lexicon table to the driver, in its order."""
+        rows = frame.orderBy("pos", "term").collect()
         return cls([(r.term, r.category, r.weight) for r in rows], case_sensitive)
 
     def overlay(self, terms: Iterable[tuple[str, str, float]]) -> Lexicon:

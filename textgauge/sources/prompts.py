@@ -21,7 +21,7 @@ def parse_prompt_batches(df: DataFrame, column: str = "document", *kept: str) ->
     checked = parsed.select(
         *kept,
         F.when(is_array, F.col("batch"))
-        .otherwise(F.raise_error(F.lit("Prompt input must be a JSON array.")).cast("variant"))
+        .otherwise(F.raise_error(F.lit("a prompt batch is a list")).cast("variant"))
         .alias("batch"),
     )
     items = checked.lateralJoin(
@@ -33,7 +33,7 @@ def parse_prompt_batches(df: DataFrame, column: str = "document", *kept: str) ->
     prompt = (
         F.when(kind == "STRING", F.try_variant_get("item", "$", "string"))
         .when(is_object, F.try_variant_get("item", "$.prompt", "string"))
-        .otherwise(F.raise_error(F.lit("Each prompt item must be a string or object with a string 'prompt'.")))
+        .otherwise(F.raise_error(F.lit("a prompt is a text or has one under prompt")))
     )
     extra = [
         F.when(F.startswith(kind, F.lit("OBJECT")), F.try_variant_get("item", f"$.{f}", "string")).alias(f)

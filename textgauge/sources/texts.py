@@ -31,7 +31,7 @@ def select_texts(
 ) -> DataFrame:
     """The text column as string with the id and group columns that exist."""
     if text_col not in df.columns:
-        raise ValueError(f"Missing text column '{text_col}'.")
+        raise ValueError(f"no column {text_col!r} to read texts from")
     extra = [c for c in dict.fromkeys([id_col, group_col]) if c and c in df.columns and c != text_col]
     return df.select(*extra, F.col(text_col).cast("string").alias(text_col))
 
@@ -55,7 +55,7 @@ def read_column_json(spark: SparkSession, path: str) -> DataFrame:
 def pair_columns(df: DataFrame) -> DataFrame:
     """Two parallel arrays to rows; arrays of different length are an error."""
     if not {"text", "label"} <= set(df.columns):
-        raise ValueError("Unsupported JSON format. Expect keys: 'text' and 'label'.")
+        raise ValueError("a column file has a list of texts and a list of labels")
     same = F.size("text") == F.size("label")
     paired = F.when(same, F.arrays_zip("text", "label")).otherwise(
         F.raise_error(F.lit("text and label differ in length"))
