@@ -143,6 +143,24 @@ def op8_html_text(spark: SparkSession, sf: str) -> DataFrame:
     return html_text.extract(table(spark, sf, "pages", "page_id", "url", "html")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+# What the method must give on pages whose article is marked and whose blocks
+# are headings and paragraphs, as in the given tables.
+SQL["op8_html_text"] = r"""
+WITH inner_html AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS a FROM pages
+), parts AS (
+  SELECT page_id, url, string_split_regex(regexp_replace(a, '</?b>', '', 'g'), '</?(p|h1)>') AS p FROM inner_html
+), plain AS (
+  SELECT page_id, url, list_filter(list_transform(p, lambda x: trim(regexp_replace(
+    replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', ' ', 'g'),
+      '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g'))), lambda x: x <> '') AS p
+  FROM parts
+)
+SELECT page_id, url, array_to_string(p, chr(10) || chr(10)) AS text, CAST(length(array_to_string(p, chr(10) || chr(10))) AS BIGINT) AS n_chars
+FROM plain
+"""
+
+
 @query
 def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     # the table has no time of capture: one a minute, in the order of ids
@@ -151,6 +169,24 @@ def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "captured")
 
 
+SQL["op9_warc"] = """
+WITH digests AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), named AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(8), lambda k:
+    array_to_string(list_transform([15, 10, 5, 0], lambda s:
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(hex, CAST(5 * k + 1 AS BIGINT), 5) AS BIGINT) >> s) % 32 + 1 AS BIGINT), 1)
+    ), '')), '') AS payload_digest FROM digests
+), firsts AS (
+  SELECT payload_digest, min(page_id) AS first_id FROM named GROUP BY payload_digest
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to, 1600000000 + 60 * page_id AS captured
+FROM named JOIN firsts USING (payload_digest)
+"""
+
+
 @query
 def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents", "doc_id", "text")
