@@ -141,24 +141,59 @@ def file_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("path", F.col("sha256").rlike("^[0-9a-f]{64}$").alias("hexadecimal"), (F.col("bytes") > 0).alias("sized"))
 
 
-DIGESTED = {
-    "labels": ("doc_id", "quality", "toxic"),
-    "documents": ("doc_id", "text", "lang", "source", "n_chars"),
-    "conversations": ("conv_id", "turn", "role", "text"),
-    "benchmark": ("item_id", "text"),
-    "pages": ("page_id", "url", "html"),
+# All tables by column. Numbers with fractions, times and vectors are brought to
+# a form that both engines write alike.
+TABLES = {
+    "region": "r_regionkey r_name",
+    "nation": "n_nationkey n_name n_regionkey",
+    "customer": "c_custkey c_name c_nationkey c_acctbal:number c_mktsegment",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal:number",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice:number",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice:number o_orderdate:time o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity:number l_extendedprice:number l_discount:number "
+    "l_tax:number l_returnflag l_linestatus l_shipdate:time",
+    "events": "event_id ts:time user_id event_type value:number props",
+    "documents": "doc_id text lang source n_chars",
+    "embeddings": "vec_id embedding:vector label",
+    "pages": "page_id url html",
+    "benchmark": "item_id text",
+    "labels": "doc_id quality toxic",
+    "conversations": "conv_id turn role text",
 }
+SPARK_FORM = {
+    "": "{c}",
+    "number": "cast(round({c} * 10000) AS bigint)",
+    "time": "date_format({c}, 'yyyy-MM-dd HH:mm:ss')",
+    "vector": "array_join(transform({c}, x -> cast(cast(round(cast(x AS double) * 1000000) AS bigint) AS string)), ',')",
+}
+DUCK_FORM = {
+    "": "CAST({c} AS VARCHAR)",
+    "number": "CAST(CAST(round({c} * 10000) AS BIGINT) AS VARCHAR)",
+    "time": "strftime({c}, '%Y-%m-%d %H:%M:%S')",
+    "vector": "array_to_string(list_transform({c}, lambda x: CAST(round(CAST(x AS DOUBLE) * 1000000) AS BIGINT)), ',')",
+}
+
+
+def forms(columns: str, by: dict[str, str]) -> list[tuple[str, str]]:
+    """(column, expression) of a table's columns."""
+    split = [c.partition(":") for c in columns.split()]
+    return [(name, by[kind].format(c=name)) for name, _, kind in split]
+
+
 DIGEST_SQL = " UNION ALL ".join(
     f"SELECT '{name}' AS path, count(*) AS \"rows\", CAST(sum(CAST(('0x' || md5(concat("
-    + ", ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns)
+    + ", ".join(f"coalesce(length({e}) || ':' || {e}, '-')" for _, e in forms(columns, DUCK_FORM))
     + f"))[:15]) AS BIGINT)) AS VARCHAR) AS digest FROM {name}"
-    for name, columns in DIGESTED.items()
+    for name, columns in TABLES.items()
 )
 
 
 @query("S9_table_digests", DIGEST_SQL)
 def table_digests(spark: SparkSession, sf: str) -> DataFrame:
-    tables = {name: table(spark, sf, name).select(*columns) for name, columns in DIGESTED.items()}
+    tables = {
+        name: table(spark, sf, name).selectExpr(*[f"{e} AS {c}" for c, e in forms(columns, SPARK_FORM)])
+        for name, columns in TABLES.items()
+    }
     return catalog.profiles(tables).select("path", "rows", "digest")
 
 
@@ -202,8 +237,8 @@ def label_count_map(spark: SparkSession, sf: str) -> DataFrame:
     "(SELECT count(*) FROM documents) THEN 'changed' END) WHERE state IS NOT NULL",
 )
 def catalog_freshness(spark: SparkSession, sf: str) -> DataFrame:
-    """A stored catalog without pages, with distinct documents and an old table."""
-    names = ("labels", "documents", "conversations", "benchmark")
+    """A stored catalog of all tables without pages, with distinct documents and an old table."""
+    names = [n for n in NAMES if n != "pages"]
     now = {n: table(spark, sf, n) for n in (*names, "pages")}
     docs = now["documents"]
     before = {n: now[n] for n in names} | {
