@@ -66,9 +66,10 @@ def texts(seed, n, size=60):
     return [" ".join(rnd.choices(vocabulary, weights=[1 / (k + 1) for k in range(len(vocabulary))], k=rnd.randint(0, 80))) for _ in range(n)]
 
 
-def test_model_against_plain_python(spark, monkeypatch):
+@pytest.mark.parametrize("block", [kneser_ney.BLOCK, 7])
+def test_model_against_plain_python(spark, block):
     train, test = texts(1, 60), [*texts(2, 30, 80), None, "", "  \n", "unknown words only", texts(1, 60)[0]]
-    model = kneser_ney.train(documents(spark, train + [train[0], None]))
+    model = kneser_ney.train(documents(spark, train + [train[0], None]), block=block)
     plain = PlainModel(train + [train[0], None])
     assert (model.tokens, model.distinct) == (plain.total, plain.size)
     for v in ("<", "w0", "w59", "never"):

@@ -145,6 +145,7 @@ class Model(NamedTuple):
     word_discounts: tuple[float, float, float]
     continuations: int
     discounted_words: tuple[int, int, int]
+    block: int
 
 
 #: Ids of a block of context and continuation counts.
@@ -214,7 +215,7 @@ def discounts(of: list[int]) -> tuple[float, float, float]:
     return tuple(float(np.clip(v, 0.05, k)) for k, v in enumerate(values, 1))
 
 
-def _contexts(pairs: list, folder: str, distinct: int, spark: SparkSession) -> tuple[tuple[str, ...], int, list[int], tuple[int, int, int]]:
+def _contexts(pairs: list, folder: str, distinct: int, width: int, spark: SparkSession) -> tuple[tuple[str, ...], int, list[int], tuple[int, int, int]]:
     """Dense files per block of ids: followers with count 1, 2, 3+, all, and words before.
 
     Partial sums of each shard of pairs are shuffled by block of ids.
@@ -230,7 +231,7 @@ def _contexts(pairs: list, folder: str, distinct: int, spark: SparkSession) -> t
                 columns = [(v, (count == 1).astype(np.int64)), (v, (count == 2).astype(np.int64)), (v, (count >= 3).astype(np.int64)), (v, count), (w, np.ones(size, np.int64))]
                 for kind, (ids, amounts) in enumerate(columns):
                     key, total = summed([ids[amounts > 0]], [amounts[amounts > 0]])
-                    cuts = np.searchsorted(key, np.arange(0, distinct + 1 + BLOCK, BLOCK).astype(U64))
+                    cuts = np.searchsorted(key, np.arange(0, distinct + 1 + width, width).astype(U64))
                     for k in range(len(cuts) - 1):
                         a, b = cuts[k], cuts[k + 1]
                         if a < b:
@@ -242,11 +243,11 @@ def _contexts(pairs: list, folder: str, distinct: int, spark: SparkSession) -> t
 
     def dense(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
-        size = min(BLOCK, distinct + 1 - block * BLOCK)
+        size = min(width, distinct + 1 - block * width)
         out = np.zeros((5, size), np.int64)
         for kind, keys, counts in zip(*(table.column(c).to_pylist() for c in ("kind", "keys", "counts"))):
             planes = np.frombuffer(counts, np.uint8).reshape(8, -1)
-            out[kind, (unpack(keys) - U64(block * BLOCK)).astype(np.int64)] += np.ascontiguousarray(planes.T).view("<u8").ravel().astype(np.int64)
+            out[kind, (unpack(keys) - U64(block * width)).astype(np.int64)] += np.ascontiguousarray(planes.T).view("<u8").ravel().astype(np.int64)
         name = f"block-{block}-{uuid.uuid4().hex}"
         out.tofile(f"{folder}/{name}")
         before = out[4]
@@ -263,7 +264,7 @@ def _contexts(pairs: list, folder: str, distinct: int, spark: SparkSession) -> t
 _INVERSE = U64(pow(int(ODD), -1, 1 << 64))
 
 
-def train(texts: DataFrame, text_col: str = "text", folder: str | None = None) -> Model:
+def train(texts: DataFrame, text_col: str = "text", folder: str | None = None, block: int = BLOCK) -> Model:
     """Count and store the model of ``texts``."""
     spark = texts.sparkSession
     folder = _shared(folder or f"{checkpoint_dir(spark)}/kneser-ney-{uuid.uuid4().hex}")
@@ -295,9 +296,9 @@ def train(texts: DataFrame, text_col: str = "text", folder: str | None = None) -
         return before * base + ids
 
     pairs = _saved_shards(_counted(texts, pair_keys, lambda k: k * ODD, shards), folder, shards, lambda k: k * ODD)
-    blocks, continuations, of_words, classes = _contexts(pairs, folder, distinct, spark)
+    blocks, continuations, of_words, classes = _contexts(pairs, folder, distinct, block, spark)
     of_pairs = [sum(r["of"][k] for r in pairs) for k in range(4)]
-    return Model(folder, files, _files(pairs, shards), blocks, total, distinct, discounts(of_pairs), discounts(of_words), continuations, classes)
+    return Model(folder, files, _files(pairs, shards), blocks, total, distinct, discounts(of_pairs), discounts(of_words), continuations, classes, block)
 
 
 def _discount(counts: np.ndarray, values: tuple[float, float, float]) -> np.ndarray:
@@ -317,11 +318,11 @@ class Scorer:
     def _of_ids(self, ids: np.ndarray) -> np.ndarray:
         """The five numbers of each id; zeros where it is -1."""
         out = np.zeros((5, len(ids)), np.int64)
-        block = ids // BLOCK
+        block = ids // self.model.block
         for k, numbers in enumerate(self.blocks):
             own = np.flatnonzero(block == k) if len(self.blocks) > 1 else np.flatnonzero(ids >= 0)
             if len(own):
-                out[:, own] = numbers[:, ids[own] - k * BLOCK]
+                out[:, own] = numbers[:, ids[own] - k * self.model.block]
         return out
 
     def __call__(self, texts: list) -> list[tuple[int, int, float, float]]:
