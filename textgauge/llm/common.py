@@ -7,6 +7,7 @@ share a key and get equal results.
 
 from __future__ import annotations
 
+import os
 import tempfile
 from collections.abc import Iterable, Iterator
 
@@ -21,9 +22,20 @@ LOWER_BYTES = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 BATCH_ROWS = 500
 
 
+#: The folder that holds the package.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Let Arrow batches hold few rows, as one row holds a whole text."""
+    """Let Arrow batches hold few rows, as one row holds a whole text.
+
+    Also lets Python workers import this package from where the driver found it,
+    which matters where it is neither installed nor sent with the job.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    path = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if ROOT not in path.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [path, ROOT]))
 
 
 def ascii_lower(text: Column) -> Column:
