@@ -86,13 +86,6 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def arrow_rows(df: DataFrame) -> list[dict]:
-    """A bounded table's rows; binary cells are views of its Arrow buffers, not copies."""
-    table = df.toArrow()
-    columns = {n: [v.as_buffer() for v in c] if pa.types.is_binary(c.type) or pa.types.is_large_binary(c.type) else c.to_pylist() for n, c in zip(table.column_names, table.columns)}
-    return [dict(zip(columns, row)) for row in zip(*columns.values())]
-
-
 def words_of(text: str | None) -> list[bytes]:
     """Words between ASCII white space, A-Z lower-cased, as UTF-8."""
     return text.encode("utf-8", "surrogatepass").translate(LOWER_BYTES).split() if text else []

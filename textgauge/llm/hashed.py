@@ -8,11 +8,15 @@ CRC-32 and multiplications, the same in every process.
 from __future__ import annotations
 
 import re
-from zlib import crc32
+from collections.abc import Iterator
+from zlib import compress, crc32, decompress
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from textgauge.llm.common import LOWER_BYTES
+from textgauge.llm.common import LOWER_BYTES, bounded_batches
 
 BITS = 18
 _WORD = re.compile(rb"[a-z0-9\x80-\xff]+|[^\sa-z0-9\x80-\xff]+")
@@ -46,5 +50,38 @@ def char_gram_chunks(text: str | None, orders: tuple[int, ...] = (3, 4)):
             yield ((code * _STEP ^ code >> np.uint32(15)) * _MIX >> _SHIFT).astype(np.int32)
 
 
+def packed_counts(grams: np.ndarray) -> bytes:
+    """The distinct indexes of n-grams and their counts, a byte or two for each."""
+    index, count = np.unique(grams, return_counts=True)
+    steps = np.diff(index, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return compress(steps.tobytes() + count.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpacked_counts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(decompress(data), np.uint8).reshape(8, -1)
+    steps, count = (np.ascontiguousarray(p.T).view("<u4").ravel() for p in (planes[:4], planes[4:]))
+    return np.cumsum(steps, dtype=np.int64).astype(np.int32), count.astype(np.int64)
+
+
+def labelled_counts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_rows: int, grams) -> list:
+    """(id, label, counts) of at most ``max_rows`` labelled rows, those with the smallest hashes.
+
+    Tasks make the packed counts of ``grams(text)``; only these reach the driver.
+    """
+    bounded_batches(docs.sparkSession)
+    chosen = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"))
+    chosen = chosen.orderBy(F.xxhash64("_id"), "_id", "label").limit(max_rows)
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "_id")
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = pa.array([packed_counts(grams(t)) for t in batch.column(2).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), counts], names=["id", "label", "counts"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    found = rows.select("_id", "label", "text").mapInArrow(counted, f"id {kind}, label int, counts binary").collect()
+    return sorted(found, key=lambda r: (crc32(str(r["id"]).encode()), str(r["id"]), r["label"], bytes(r["counts"])))
+
+
 def sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35.0, 35.0)))

@@ -6,9 +6,8 @@ updates (per-coordinate rates, L1 and L2), in a seeded order, and a text's
 score is the sigmoid of a sparse dot product.
 
 The model is fitted on a bounded sample of labelled rows: ``max_rows`` of them,
-those with the smallest hash of their id. Their vectors are made by Spark tasks
-and collected (at most 2^18 entries each); all texts are then scored in Arrow
-batches.
+those with the smallest hash of their id. Their counts are made by Spark tasks
+and collected packed; all texts are then scored in Arrow batches.
 
 Defined results: a null or empty text scores as the bias alone; without labels
 of both kinds every score is the share of label 1, or 0.5 without any.
@@ -23,58 +22,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgauge.llm.common import arrow_rows, bounded_batches
-from textgauge.llm.hashed import BITS, sigmoid, word_grams
+from textgauge.llm.common import bounded_batches
+from textgauge.llm.hashed import BITS, labelled_counts, sigmoid, unpacked_counts, word_grams
 
 MAX_ROWS = 6000
 
 
-def vector(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Indexes and values of a text's unit vector."""
-    index, count = np.unique(word_grams(text), return_counts=True)
+def unit(index: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes and values of the unit vector of some counts."""
     value = np.log1p(count).astype(np.float32)
     return index, value / max(1e-9, float(np.sqrt((value * value).sum())))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_rows: int) -> list:
-    """(label, index bytes, value bytes) of the sampled rows, in a fixed order."""
-    bounded_batches(docs.sparkSession)
-    chosen = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"))
-    chosen = chosen.orderBy(F.xxhash64("_id"), "_id", "label").limit(max_rows)
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "_id")
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [vector(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), batch.column("label"), pa.array([i.tobytes() for i, _ in made], pa.binary()), pa.array([v.tobytes() for _, v in made], pa.binary())],
-                names=["id", "label", "index", "value"],
-            )
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    found = rows.select("_id", "label", "text").mapInArrow(vectors, f"id {kind}, label int, index binary, value binary")
-    return sorted(arrow_rows(found), key=lambda r: (str(r["id"]), r["label"], r["index"].to_pybytes()))
+def vector(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    return unit(*np.unique(word_grams(text), return_counts=True))
 
 
 def fit_ftrl(rows: list, epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.5, seed: int = 7) -> tuple[np.ndarray, float]:
-    """Weights (the last one is the bias) of rows with label, index and value."""
+    """Weights (the last one is the bias) of rows with label and packed counts."""
     size = 1 << BITS
     z, n = np.zeros(size + 1, np.float64), np.zeros(size + 1, np.float64)
-    data = [(r["label"], np.append(np.frombuffer(r["index"], np.int32), size), np.append(np.frombuffer(r["value"], np.float32), 1.0)) for r in rows]
 
     def weights(at):
         zs = z[at]
         return np.where(np.abs(zs) <= l1, 0.0, -(zs - np.sign(zs) * l1) / ((beta + np.sqrt(n[at])) / alpha + l2))
 
-    share = sum(y for y, _, _ in data) / len(data) if data else 0.5
-    if not data or share in (0, 1):
+    share = sum(r["label"] for r in rows) / len(rows) if rows else 0.5
+    if not rows or share in (0, 1):
         out = np.zeros(size + 1)
         out[size] = np.log(np.clip(share, 1e-3, 1 - 1e-3) / (1 - np.clip(share, 1e-3, 1 - 1e-3)))
         return out.astype(np.float32), share
     order = np.random.default_rng(seed)
     for _ in range(epochs):
-        for k in order.permutation(len(data)):
-            y, at, x = data[k]
+        for k in order.permutation(len(rows)):
+            y = rows[k]["label"]
+            at, x = unit(*unpacked_counts(rows[k]["counts"]))
+            at, x = np.append(at, size), np.append(x, 1.0)
             w = weights(at)
             g = (sigmoid(w @ x) - y) * x
             step = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / alpha
@@ -84,7 +67,7 @@ def fit_ftrl(rows: list, epochs: int = 3, alpha: float = 0.5, beta: float = 1.0,
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = MAX_ROWS) -> np.ndarray:
-    return fit_ftrl(training_rows(docs, labels, id_col, text_col, label_col, max_rows))[0]
+    return fit_ftrl(labelled_counts(docs, labels, id_col, text_col, label_col, max_rows, word_grams))[0]
 
 
 def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

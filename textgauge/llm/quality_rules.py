@@ -24,8 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgauge.llm.common import arrow_rows, bounded_batches
-from textgauge.llm.hashed import BITS, char_gram_chunks, sigmoid, word_grams
+from textgauge.llm.common import bounded_batches
+from textgauge.llm.hashed import BITS, char_gram_chunks, labelled_counts, sigmoid, unpacked_counts, word_grams
 
 MAX_ROWS = 4000
 MIN_WORDS = 20
@@ -98,13 +98,17 @@ def probability(text: str | None, model: Model) -> float:
     return float(sigmoid(model.slope * raw_score(text, model) + model.offset))
 
 
-def vector(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    words = word_grams(text)
-    chars = np.concatenate([np.empty(0, np.int32), *char_gram_chunks(text)])
-    wi, wc = np.unique(words, return_counts=True)
-    ci, cc = np.unique(chars, return_counts=True)
-    values = np.concatenate([wc / max(1, len(words)), cc / max(1, len(chars))]) * _SCALE
-    return np.concatenate([wi, ci + _SIZE]).astype(np.int32), values.astype(np.float32)
+def all_grams(text: str | None) -> np.ndarray:
+    """Word grams, then character grams from 2^18 on."""
+    return np.concatenate([word_grams(text), *[c + np.int32(_SIZE) for c in char_gram_chunks(text)]])
+
+
+def frequencies(index: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each family's counts by its sum, scaled."""
+    value, cut = count.astype(np.float32) * np.float32(_SCALE), np.searchsorted(index, _SIZE)
+    for part in (slice(0, cut), slice(cut, None)):
+        value[part] /= max(1, int(count[part].sum()))
+    return index, value
 
 
 def _platt(x: np.ndarray, target: np.ndarray) -> tuple[float, float]:
@@ -132,24 +136,25 @@ def _platt(x: np.ndarray, target: np.ndarray) -> tuple[float, float]:
 
 
 def fit_model(rows: list, epochs: int = 4, rate: float = 0.3, l2: float = 1e-5, seed: int = 3) -> Model:
-    """Fit on rows with id, label, index and value; every fourth row calibrates."""
-    data = [(r["label"], np.frombuffer(r["index"], np.int32), np.frombuffer(r["value"], np.float32)) for r in rows]
-    train, held = [d for k, d in enumerate(data) if k % 4], data[::4]
-    if len({y for y, *_ in train}) < 2 or len({y for y, *_ in held}) < 2:
+    """Fit on rows with label and packed counts; every fourth row calibrates."""
+    train, held = [r for k, r in enumerate(rows) if k % 4], rows[::4]
+    if len({r["label"] for r in train}) < 2 or len({r["label"] for r in held}) < 2:
         return NEUTRAL
     w, seen, bias, bias_seen = np.zeros(2 * _SIZE), np.full(2 * _SIZE, 1e-2), 0.0, 1.0
     order = np.random.default_rng(seed)
     for _ in range(epochs):
         for k in order.permutation(len(train)):
-            y, at, x = train[k]
-            error = sigmoid(w[at] @ x + bias) - y
+            at, x = frequencies(*unpacked_counts(train[k]["counts"]))
+            error = sigmoid(w[at] @ x + bias) - train[k]["label"]
             g = error * x + l2 * w[at]
             seen[at] += g * g
             w[at] -= rate * g / np.sqrt(seen[at])
             bias_seen += error * error
             bias -= rate * error / np.sqrt(bias_seen)
-    x = np.array([w[at] @ v + bias for _, at, v in held])
-    y = np.array([d[0] for d in held], float)
+    y, x = np.array([r["label"] for r in held], float), np.empty(len(held))
+    for k, r in enumerate(held):
+        at, v = frequencies(*unpacked_counts(r["counts"]))
+        x[k] = w[at] @ v + bias
     # Platt's targets keep the fit finite where the classes separate
     target = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
     a, b = _platt(x, target)
@@ -157,23 +162,8 @@ def fit_model(rows: list, epochs: int = 4, rate: float = 0.3, l2: float = 1e-5,
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = MAX_ROWS) -> Model:
-    """Fit on at most ``max_rows`` labelled rows; their vectors are made by Spark tasks."""
-    bounded_batches(docs.sparkSession)
-    chosen = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"))
-    chosen = chosen.orderBy(F.xxhash64("_id"), "_id", "label").limit(max_rows)
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "_id")
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [vector(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), batch.column("label"), pa.array([i.tobytes() for i, _ in made], pa.binary()), pa.array([v.tobytes() for _, v in made], pa.binary())],
-                names=["id", "label", "index", "value"],
-            )
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    found = rows.select("_id", "label", "text").mapInArrow(vectors, f"id {kind}, label int, index binary, value binary")
-    return fit_model(sorted(arrow_rows(found), key=lambda r: (xxhash.xxh64_intdigest(str(r["id"])), r["label"], r["index"].size)))
+    """Fit on at most ``max_rows`` labelled rows; their counts are made by Spark tasks."""
+    return fit_model(labelled_counts(docs, labels, id_col, text_col, label_col, max_rows, all_grams))
 
 
 def judge(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
