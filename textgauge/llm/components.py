@@ -9,6 +9,8 @@ driver.
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return least.select("a", F.col("m").alias("b")).unionByName(others).where("a <> b").distinct()
 
 
+def _forget(df: DataFrame) -> None:
+    """Let Spark's cleaner remove the shuffles and checkpoints of earlier rounds, which nothing refers to."""
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+
+
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
@@ -38,6 +46,7 @@ def components(edges: DataFrame) -> DataFrame:
     mark = _mark(edges)
     while mark[0]:
         edges = saved(_small_star(_large_star(edges)))
+        _forget(edges)
         now = _mark(edges)
         if now == mark:
             break
