@@ -121,3 +121,43 @@ def test_near_copies_by_shingles(spark):
         assert first[60 + k] == 60 + k and first[80 + k] == 80 + k
     assert first[900] == first[901] == first[None] == 900
     assert near_copies.near_copies(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_near_copies_that_are_far_from_the_first_of_their_class(spark):
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    texts, pairs = {}, []
+    for k in range(0, 300, 3):
+        body = [word() for _ in range(80)]
+        changed = [*body[:-2], word(), body[-1]]
+        texts |= {k: body + [word() for _ in range(30)], k + 1: body, k + 2: changed}
+        pairs.append((k, k + 1, k + 2))
+    docs = documents(spark, [" ".join(w) for w in texts.values()], [*texts])
+    rows = near_copies.near_copies(docs).collect()
+    by = {r["rk"]: r["id"] for r in rows}
+    first = {r["id"]: by[r["first"]] for r in rows}
+    assert [(first[a], first[b], first[c]) for a, b, c in pairs] == [(a, b, b) for a, b, _ in pairs]
+
+
+def test_near_copies_against_all_pairs(spark):
+    rnd = random.Random(9)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(4)) for _ in range(60)]
+    texts = [[rnd.choice(words) for _ in range(rnd.randint(5, 60))] for _ in range(60)]
+    for _ in range(240):
+        w = list(rnd.choice(texts))
+        for _ in range(rnd.randint(1, 3)):
+            k = rnd.randrange(len(w) + 1)
+            w[k : k + rnd.randint(0, 1)] = [rnd.choice(words)] * rnd.randint(0, 2)
+        texts.append(w)
+    texts = [" ".join(w) for w in texts]
+    groups, sets = Groups(range(len(texts))), [near_copies.shingle_set(t) for t in texts]
+    for i in range(len(texts)):
+        for j in range(i):
+            if near_copies.jaccard(sets[i], sets[j]) >= 0.8:
+                groups.join(i, j)
+    rows = near_copies.near_copies(documents(spark, texts, [*range(len(texts))])).collect()
+    by = {r["rk"]: r["id"] for r in rows}
+    first: dict = {}
+    for k in range(len(texts)):
+        first.setdefault(groups.find(k), k)
+    assert {r["id"]: by[r["first"]] for r in rows} == {k: first[groups.find(k)] for k in range(len(texts))}
