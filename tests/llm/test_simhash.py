@@ -161,3 +161,27 @@ def test_near_copies_against_all_pairs(spark):
     for k in range(len(texts)):
         first.setdefault(groups.find(k), k)
     assert {r["id"]: by[r["first"]] for r in rows} == {k: first[groups.find(k)] for k in range(len(texts))}
+
+
+def test_near_copies_with_long_boilerplate_or_one_frequent_word(spark):
+    rnd = random.Random(10)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(7))
+    shared = [word() for _ in range(820)]
+    often = next(w for w in iter(word, None) if xxhash.xxh64_intdigest(w.encode()) % near_copies.PASSAGE_WORDS == 0)
+
+    def edited(w, changes):
+        w = list(w)
+        for k in range(changes):
+            w[3 + k * len(w) // changes] = word()
+        return w
+
+    texts = {}
+    for k in range(30):
+        body = [word() for _ in range(180)]
+        texts |= {k: shared + body, 100 + k: shared + edited(body, 8)}
+        words = [word() if n % 4 else often for n in range(400)]
+        texts |= {200 + k: words, 300 + k: edited(words, 8)}
+    rows = near_copies.near_copies(documents(spark, [" ".join(w) for w in texts.values()], [*texts])).collect()
+    by = {r["rk"]: r["id"] for r in rows}
+    assert {r["id"]: by[r["first"]] for r in rows} == {k: k - 100 if k // 100 % 2 else k for k in texts}
+    assert near_copies.passages([w.encode() for w in texts[200]])
