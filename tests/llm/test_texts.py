@@ -87,6 +87,23 @@ def test_page_without_a_marked_article():
     assert text.startswith("Head\n\nA sentence") and "One" not in text and "cookies" not in text and "Home" not in text
 
 
+def test_all_of_an_unmarked_content_stays():
+    long = "A sentence, with points, that goes on; and more. " * 8
+    page = '<html><body><div class="menu">Home</div><div class="wrap"><div class="text"><h1>Head</h1><p class="lead">Short lead</p>'
+    page += f"<p>{long}</p><p>{long}</p><ul><li>First item</li><li>Second item</li></ul><table><tr><th>Year</th><td>1999</td></tr></table>"
+    page += f'<figure><figcaption>A caption</figcaption></figure><p>{long}</p></div><div class="x"><a href="1">One</a></div><div class="y">Last seen</div></div></body></html>'
+    body = long.strip()
+    want = ["Head", "Short lead", body, body, "First item", "Second item", "Year", "1999", "A caption", body]
+    assert html_text.main_text(page).split("\n\n") == want
+
+
+def test_values_choose_among_marked_articles():
+    words = "<p>" + "plain words and more of them " * 4 + "</p>"
+    prose = "<p>" + "Here, in short: this, that, and more. It ends; so. " * 2 + "</p>"
+    text = html_text.main_text(f"<article>{words}</article><article class='a'>{prose}</article>")
+    assert text.startswith("Here, in short")
+
+
 def test_long_pages_take_linear_time():
     for part in ("<p>", "<div>", "<b", '<a href="', "&amp;", "<!--", "x ", "<li>y", "</div>"):
         html_text.main_text("<article>" + part * 40_000)

@@ -3,13 +3,13 @@
 Method: a page is cut into blocks of text, each with its root-to-leaf path of
 block tags (with classes). Per path, text length and punctuation are added up
 over its blocks: their means are the path's ratios. The series of text ratios
-in page order is smoothed, the three are fused into one value per path, and
-paths under a share of the page's best are dropped. Paths through an element
-that is no article by its tag, class, id or role (menus, headers, footers,
-sidebars, notices, adverts, forms, comments) have ratio zero, and so do paths
-that hold links only. If the page marks its article (``article``, ``main``),
-the one with most text is the content's root and the share is nought, so that all
-its paths with text of their own stay.
+in page order is smoothed, and the three are fused into one value per path.
+The values choose the content's root, and all blocks in it stay but those of
+paths that hold links only: of the elements that the page marks as articles
+(``article``, ``main``), the one with the largest sum of values; without one,
+the innermost container of all paths at a share or more of the best. Elements
+that are no article by their tag, class, id or role (menus, headers, footers,
+sidebars, notices, adverts, forms, comments) are left out before that.
 
 Every page is parsed whole, in one pass, in Arrow batches; nothing is shuffled.
 
@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from textgauge.llm.common import bounded_batches
 
-#: Share of the best path's value that a path needs, within a marked article and without one.
-ARTICLE_SHARE, SHARE = 0.0, 0.2
+#: Share of the best path's value from which a path has a say in where the content's root is.
+SHARE = 0.2
 
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img input".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -41,6 +41,8 @@ RAW = frozenset("script style noscript template iframe textarea title svg math o
 BOILERPLATE = frozenset("head nav footer aside form menu dialog".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ARTICLES = frozenset("article main".split())
+#: Parts of a content, never its root.
+PARTS = HEADINGS | frozenset("p ul ol li dl dt dd table caption colgroup thead tbody tfoot tr td th pre blockquote figure figcaption section details summary address center hgroup".split())
 #: Words of a class, id or role that mark an element as no part of the article.
 HINTS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion promoted "
@@ -187,6 +189,10 @@ def _tag_end(html: str, at: int) -> int:
 
 
 def blocks(html: str) -> list[Block]:
+    return walked(html).blocks
+
+
+def walked(html: str) -> _Walk:
     walk, at, size = _Walk(), 0, len(html)
     while at < size:
         begin = html.find("<", at)
@@ -225,7 +231,7 @@ def blocks(html: str) -> list[Block]:
     if at < size:
         walk.text(html[at:])
     walk.flush()
-    return walk.blocks
+    return walk
 
 
 def path_values(found: list[Block]) -> dict[int, float]:
@@ -245,22 +251,57 @@ def path_values(found: list[Block]) -> dict[int, float]:
     return {p: (ratio[p] * smooth[p]) ** 0.5 * (1 + points[p] / count[p]) ** 0.5 for p in ratio}
 
 
+def _in_root(walk: _Walk) -> set[int]:
+    """The paths in the innermost container of all paths with a share of the best value."""
+    above = {path: key[0] for key, path in walk.paths.items()}
+    tags = {path: key[1].split(".", 1)[0] for key, path in walk.paths.items()}
+    value = path_values(walk.blocks)
+    least = SHARE * max(value.values(), default=0.0)
+    root: int | None = None
+    for path, v in value.items():
+        if v <= 0 or v < least:
+            continue
+        at = path
+        if tags.get(above.get(at, 0)) not in (None, "body", "html") or tags.get(at) in PARTS:
+            at = above.get(at, 0)  # the block's own element holds no others
+        while tags.get(at) in PARTS:
+            at = above[at]
+        root = at if root is None else _meeting(root, at, above)
+    inside = {root}
+    for path in sorted(above):  # a path's number is larger than that of the one above
+        if above[path] in inside:
+            inside.add(path)
+    return inside
+
+
+def _meeting(a: int, b: int, above: dict[int, int]) -> int:
+    while a != b:
+        if a > b:
+            a = above[a]
+        else:
+            b = above[b]
+    return a
+
+
 def main_text(html: str | None) -> str:
     """The article's blocks, joined by an empty line."""
-    found = blocks(html) if html else []
-    sizes: Counter[int] = Counter()
+    if not html:
+        return ""
+    walk = walked(html)
+    found, sizes = walk.blocks, Counter()
+    value = path_values(found)
     for b in found:
         if b.article is not None:
-            sizes[b.article] += len(b.text)
-    share = SHARE
+            sizes[b.article] += value[b.path]
     if sizes:
         best = max(sizes, key=lambda k: (sizes[k], -k))
-        found, share = [b for b in found if b.article == best], ARTICLE_SHARE
-    value = path_values(found)
-    least = share * max(value.values(), default=0.0)
+        found = [b for b in found if b.article == best]
+        value, inside = path_values(found), {b.path for b in found}
+    else:
+        inside = _in_root(walk)
     kept, below = [], False
     for b in reversed(found):
-        own = value[b.path] > 0 and value[b.path] >= least
+        own = value[b.path] > 0 and b.path in inside
         keep = own or (b.heading and below)  # a heading goes with the text under it
         below = keep
         if keep:
