@@ -276,3 +276,20 @@ def test_spans_of_documents(spark, trained):
     assert [(s["kind"], docs[3][s["start"] : s["end"]]) for s in rows[3]["spans"]] == [("email", "a.b@c.de"), ("phone", "+44 20 7946 0958")]
     assert [tuple(s) for s in rows[5]["base"]] == [("ip", 50_001, 50_009)]
     assert pii.find(spark.createDataFrame([], DOCS), trained[0]).count() == 0
+
+
+def test_fitting_samples_are_bounded_in_rows(spark, monkeypatch):
+    from textgauge.llm import hashed, pii
+
+    docs = documents(spark, ["one two 3"] * 40 + ["four 5"] * 40 + ["six 7"], [1] * 80 + [2])
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0)], "doc_id long, quality int")
+    rows = hashed.labelled_counts(docs, labels, "doc_id", "text", "quality", 3, hashed.word_grams)
+    assert sorted((r["id"], r["label"]) for r in rows) == [(1, 1), (2, 0)]
+    collected = []
+    kind = type(docs)
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda self: collected.append(collect(self)) or collected[-1])
+    monkeypatch.setattr(pii, "train", lambda made: made)
+    monkeypatch.setattr(pii, "examples", lambda windows: windows)
+    assert len(pii.fit(docs)) == 3
+    assert [len(x) for x in collected] == [3]

@@ -64,14 +64,15 @@ def unpacked_counts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def labelled_counts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_rows: int, grams) -> list:
-    """(id, label, counts) of at most ``max_rows`` labelled rows, those with the smallest hashes.
+    """(id, label, counts) of at most ``max_rows`` labelled ids, those with the smallest hashes.
 
-    Tasks make the packed counts of ``grams(text)``; only these reach the driver.
+    Of rows with one id, the text with the smallest hash stands for all. Tasks make the packed counts of ``grams(text)``; only these reach the driver.
     """
     bounded_batches(docs.sparkSession)
-    chosen = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"))
+    chosen = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label")).distinct()
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id", "label").limit(max_rows)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "_id")
+    rows = rows.groupBy("_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -409,7 +409,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_win
     texts = docs.where(F.col(text_col).rlike("[0-9@]")).select(F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("_h"))
     # the choice is made by hash alone, before any text is moved
     chosen = texts.select("_h").distinct().orderBy("_h").limit(max_windows)
-    rows = texts.join(F.broadcast(chosen), "_h").select("text").mapInArrow(cut, "window string")
+    # equal rows share a hash and count once
+    once = texts.join(F.broadcast(chosen), "_h").groupBy("_h").agg(F.min("text").alias("text"))
+    rows = once.select("text").mapInArrow(cut, "window string")
     return train(examples(sorted({r["window"] for r in rows.collect()})))
 
 
