@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgauge.llm import bpe, html_text, kneser_ney, line_dedup, pii, quality_classifier, quality_rules, simhash, warc, winnowing
+from textgauge.llm import bpe, fill_middle, html_text, importance, kneser_ney, line_dedup, pii, quality_classifier, quality_rules, simhash, warc, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -211,3 +211,84 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+
+@query
+def op12_fill_middle(spark: SparkSession, sf: str) -> DataFrame:
+    made = fill_middle.transform(table(spark, sf, "documents", "doc_id", "text"))
+    return made.select(
+        F.col("id").alias("doc_id"),
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(), 256).alias("restored_sha256"),
+    )
+
+
+SQL["op12_fill_middle"] = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+  FROM documents
+), h AS (
+  SELECT *, len(u) AS n, list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(d, CAST(i AS BIGINT), 8) AS BIGINT)) AS h FROM t
+), c AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 50 THEN 'plain'
+      WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM h
+), p AS (
+  SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS pre, coalesce(array_to_string(u[a + 1:b], ''), '') AS mid,
+    coalesce(array_to_string(u[b + 1:n], ''), '') AS suf FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query
+def op13_importance(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    found = importance.resample(docs, table(spark, sf, "benchmark", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+SQL["op13_importance"] = rf"""
+WITH polynomial AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS t
+), texts AS (
+  SELECT true AS ours, doc_id AS id, text FROM documents UNION ALL SELECT false, item_id, text FROM benchmark
+), listed AS (
+  SELECT ours, id, list_filter(regexp_split_to_array(coalesce({LOWER}, ''), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM texts
+), found AS (
+  SELECT ours, id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM listed
+), hexed AS (
+  SELECT f, hex(f) AS x FROM (SELECT DISTINCT f FROM found)
+), hashed AS (
+  SELECT f, xor(list_reduce(list_concat([4294967295], list_transform(range(len(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
+    lambda c, b: xor(t[xor(c, b) % 256 + 1], c // 256)), 4294967295) % 10000 AS bucket FROM hexed, polynomial
+), counted AS (
+  SELECT bucket, count(*) FILTER (ours) AS s, count(*) FILTER (NOT ours) AS t FROM found JOIN hashed USING (f) GROUP BY bucket
+), sums AS (
+  SELECT CAST(sum(s) AS DOUBLE) AS s_sum, CAST(sum(t) AS DOUBLE) AS t_sum FROM counted
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(((t + 1) * (s_sum + 10000)) / ((s + 1) * (t_sum + 10000)))) AS BIGINT) AS gain FROM counted, sums
+), weighed AS (
+  SELECT id, count(*) AS n, CAST(sum(gain) AS BIGINT) AS total FROM found JOIN hashed USING (f) JOIN gains USING (bucket) WHERE ours GROUP BY id
+), scored AS (
+  SELECT id AS doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features,
+    coalesce((total - ((total % n) + n) % n) // n, 0) AS weight,
+    CAST('0x' || substr(sha256('7:' || id), 1, 8) AS BIGINT) AS h
+  FROM listed LEFT JOIN weighed USING (id) WHERE ours
+), noisy AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM scored
+), placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM noisy WHERE n_words >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 25 * n // 100 THEN place END AS rank FROM noisy LEFT JOIN placed USING (doc_id)
+"""
