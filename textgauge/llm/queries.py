@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgauge.llm import bpe, fill_middle, html_text, importance, kneser_ney, line_dedup, pii, quality_classifier, quality_rules, simhash, warc, winnowing
+from textgauge.llm import bpe, fill_middle, html_text, importance, kneser_ney, line_dedup, pii, quality_classifier, quality_rules, simhash, suffix_repeats, warc, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -213,6 +213,38 @@ FROM marked GROUP BY doc_id
 """
 
 
+@query
+def op11_suffix_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    found = suffix_repeats.remove_repeats(table(spark, sf, "documents", "doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL["op11_suffix_repeats"] = """
+WITH bytes AS (
+  SELECT doc_id, hex(coalesce(text, '')) AS x, strlen(coalesce(text, '')) AS n FROM documents
+), starts AS (
+  SELECT doc_id, i, md5(substr(x, 2 * i + 1, 400)) AS m FROM (SELECT doc_id, x, unnest(range(n - 199)) AS i FROM bytes WHERE n >= 200)
+), repeated AS (
+  SELECT m FROM starts GROUP BY m HAVING count(*) > 1
+), marked AS (
+  SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS b FROM starts SEMI JOIN repeated USING (m)
+), runs AS (
+  SELECT doc_id, i, sum(CASE WHEN b IS NULL OR i > b + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked
+), spans AS (
+  SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM runs GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS f, a AS t, b FROM spans
+), parts AS (
+  SELECT doc_id, f, t FROM gaps UNION ALL SELECT doc_id, coalesce(max(s.b), 0), any_value(n) FROM bytes LEFT JOIN spans s USING (doc_id) GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, sha256(unhex(coalesce(string_agg(substr(x, 2 * f + 1, 2 * (t - f)), '' ORDER BY f) FILTER (t > f), ''))) AS kept_sha256
+  FROM parts JOIN bytes USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(sum(b - a), 0) AS BIGINT) AS n_removed, count(a) AS n_spans, any_value(kept_sha256) AS kept_sha256
+FROM bytes LEFT JOIN spans USING (doc_id) JOIN kept USING (doc_id) GROUP BY doc_id, n
+"""
+
+
 @query
 def op12_fill_middle(spark: SparkSession, sf: str) -> DataFrame:
     made = fill_middle.transform(table(spark, sf, "documents", "doc_id", "text"))
