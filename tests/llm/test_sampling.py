@@ -182,12 +182,12 @@ def passages(seed, length):
     return texts + [fresh(rnd.randint(0, 2 * length)) + shared[0] + fresh(rnd.randint(0, 2 * length)) for _ in range(20)]
 
 
-@pytest.mark.parametrize("length,gram,group", [(20, 6, 8192), (20, 6, 3), (8, 3, 2), (200, 32, 8192), (200, 32, 4)])
-def test_repeats_against_brute_force(spark, monkeypatch, length, gram, group):
+@pytest.mark.parametrize("length,gram,group,spread", [(20, 6, 8192, 64), (20, 6, 8192, 1), (20, 6, 3, 1), (8, 3, 2, 2), (200, 32, 8192, 64), (200, 32, 4, 1)])
+def test_repeats_against_brute_force(spark, length, gram, group, spread):
     """Also with so few surroundings allowed that windows become pieces of their own."""
     texts = passages(length + group, length)
     docs = documents(spark, texts, [None, *range(1, len(texts))]).repartition(5)
-    found = suffix_repeats.remove_repeats(docs, length=length, gram=gram, group=group)
+    found = suffix_repeats.remove_repeats(docs, length=length, gram=gram, group=group, spread=spread)
     assert found.columns == ["id", "n_bytes", "n_removed", "n_spans", "spans", "kept"]
     got = {r.id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found.collect()}
     assert [got[i] for i in [None, *range(1, len(texts))]] == plain_removal(texts, length)

@@ -11,24 +11,26 @@ stop at ``LENGTH``: boundaries then unknown join suffixes that agree in
 Shards: the transform of a whole corpus fits no task, so places are brought
 together by content first. Each window of ``LENGTH`` bytes has an anchor, the
 smallest hash of its ``GRAM``-byte strings (leftmost of equals), so equal
-windows have equal anchors. Anchors are counted; windows whose anchor is found
-once in the corpus have no copy and are never moved. The others become pieces,
-runs of windows with one anchor, and go to the shard of the half window beside
-the anchor, which all windows of a piece contain. Hashes choose what meets;
-that two windows are equal is only said by the transform.
-
-Skew: copies inside a task are put together (counts, one representative) before
-anything is shuffled, so no key has more rows than tasks and different texts.
-An anchor with more than ``GROUP`` different surroundings would fill a shard:
-its windows are counted one by one by a hash of all their bytes, and those
-found twice are pieces of their own, whose shard holds one text.
+windows have equal anchors. A piece is a run of windows with one anchor. Pieces
+are counted by anchor before any text is moved: an anchor found once in the
+corpus has no copy, and of pieces that are equal to the byte (128 bits of hash)
+only one goes on, with their number as its weight. The texts of these are
+fetched and go to the shard of their anchor.
+
+Skew: copies are put together inside each task first. An anchor whose pieces
+differ in many ways is dealt out by piece where a task alone sees more than
+``SPREAD`` of them, so what one task gets of an anchor is bounded by the number
+of tasks. An anchor with more than ``GROUP`` different pieces would fill a
+shard: its windows are counted one by one by a hash of all their bytes, and
+those found twice are pieces of their own, whose shard holds one text.
 
 Texts are shuffled once, by row key, and met by their hits and by their marks;
 both joins ask for the same exchange. Lost executors cost a recomputation of
 their parts; hits are kept in the shared folder.
 
-Memory: texts are worked on in blocks of ``STEP`` bytes, tasks let go of what
-they gathered every ``HELD`` bytes, a shard has ``SHARD`` bytes.
+Memory: texts are worked on in blocks of ``STEP`` bytes, tasks let go of the
+pieces they gathered every ``HELD`` bytes, a shard has ``SHARD`` bytes and the
+rest of its last anchor.
 
 Defined results: a null text is empty; texts shorter than ``LENGTH`` lose
 nothing; rows are documents of their own, so rows that are equal, id and text,
@@ -50,7 +52,7 @@ from textgauge.llm.common import bounded_batches, row_key, saved
 from textgauge.session import fits
 
 LENGTH, GRAM = 200, 32
-GROUP = 8192
+GROUP, SPREAD = 8192, 64
 STEP = 1 << 18
 HELD = 48 << 20
 SHARD = 1 << 20
@@ -69,6 +71,7 @@ def _powers(base: int) -> np.ndarray:
 
 
 _UP, _DOWN = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))
+_UP_2, _DOWN_2 = _powers(_BASE ^ 0x5555555555555554), _powers(pow(_BASE ^ 0x5555555555555554, -1, 1 << 64))
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -77,13 +80,14 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 class Block:
-    """Parts of texts side by side, with hashes of any of their substrings."""
+    """Parts of texts side by side, with two hashes of any of their substrings."""
 
     def __init__(self, parts: list[bytes], length: int, gram: int):
-        self.data = b"".join(parts)
-        seen = np.frombuffer(self.data, np.uint8)
-        self.sums = np.zeros(len(seen) + 1, np.uint64)
-        np.cumsum(_CODES[seen] * _UP[: len(seen)], out=self.sums[1:])
+        seen = np.frombuffer(b"".join(parts), np.uint8)
+        codes = _CODES[seen]
+        self.sums, self.sums_2 = np.zeros(len(seen) + 1, np.uint64), np.zeros(len(seen) + 1, np.uint64)
+        np.cumsum(codes * _UP[: len(seen)], out=self.sums[1:])
+        np.cumsum(codes * _UP_2[: len(seen)], out=self.sums_2[1:])
         sizes = np.array([len(p) for p in parts], np.int64)
         self.heads = np.cumsum(sizes) - sizes
         self.sizes, self.length, self.gram = sizes, length, gram
@@ -91,9 +95,12 @@ class Block:
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return _mixed((self.sums[ends] - self.sums[starts]) * _DOWN[starts])
 
+    def hashes_2(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return _mixed((self.sums_2[ends] - self.sums_2[starts]) * _DOWN_2[starts])
+
     def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Part, anchor, first and last window of each run of windows with one anchor."""
-        grams = len(self.data) - self.gram + 1
+        grams = len(self.sums) - self.gram
         places = np.arange(grams, dtype=np.uint64)
         least = (_mixed((self.sums[self.gram :] - self.sums[: -self.gram]) * _DOWN[:grams]) & ~_PLACE) | places
         width, have = self.length - self.gram + 1, 1
@@ -131,8 +138,10 @@ def blocks(texts: list[str | None], length: int) -> Iterator[tuple[list[int], li
         yield rows, offsets, parts
 
 
-# kind: 0 a place whose copies are sought, 1 how often an anchor is found in a task, 2 a place that has a copy
-FOUND = "deal long, kind int, fp long, n long, surroundings long, rk long, low long, high long"
+# kind 0: a piece, its weight and one of its places; 1: how many pieces of an anchor a task deals out by piece;
+# 2: windows that are known to have a copy; 3: a piece that is dealt out so
+FOUND = "kind int, fp long, h1 long, h2 long, rk long, low long, wide long, n long"
+MET = "kind int, fp long, rk long, low long, wide long, n long"
 
 
 def _batch(fields: str, *columns) -> pa.RecordBatch:
@@ -142,112 +151,147 @@ def _batch(fields: str, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, [n for n, _ in named])
 
 
-def _met(fp: np.ndarray, content: np.ndarray, rk: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.RecordBatch:
-    """What a task says of its anchors: places found once; counts and all places of others."""
-    order = np.lexsort((low, rk, content, fp))
-    fp, content, rk, low, high = (x[order] for x in (fp, content, rk, low, high))
-    new = np.ones(len(fp), bool)
-    new[1:] = fp[1:] != fp[:-1]
-    other = new.copy()
-    other[1:] |= content[1:] != content[:-1]
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before it."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return new
+
+
+def _marked(rk: np.ndarray, low: np.ndarray, wide: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows, put together where they touch in one text."""
+    order = np.lexsort((low, rk))
+    rk, low, stop = rk[order], low[order], (low + wide)[order]
+    new = np.ones(len(rk), bool)
+    new[1:] = (rk[1:] != rk[:-1]) | (low[1:] > stop[:-1])
     heads = np.flatnonzero(new)
-    n = np.diff(np.append(heads, len(fp)))
-    kinds = np.add.reduceat(other.astype(np.int64), heads) if len(heads) else n
-    single = np.repeat(n, n) == 1
-    many = n > 1
-    # places in a row, as in a run of one letter, are one
-    m = np.flatnonzero(~single)
-    m = m[np.lexsort((low[m], rk[m], fp[m]))]
-    start = np.ones(len(m), bool)
-    start[1:] = (fp[m][1:] != fp[m][:-1]) | (rk[m][1:] != rk[m][:-1]) | (low[m][1:] > high[m][:-1] + 1)
-    at = np.flatnonzero(start)
-    top = np.maximum.reduceat(high[m], at) if len(at) else high[m]
-    sizes = (int(single.sum()), int(many.sum()), len(at))
-    zeros = [np.zeros(k, np.int64) for k in sizes]
-    join = lambda a, b, c: np.concatenate([a, b, c])
+    top = np.maximum.reduceat(stop, heads) if len(heads) else stop
+    return rk[heads], low[heads], top - low[heads]
+
+
+def _met(fp, h1, h2, rk, low, wide, n, spread: int) -> pa.RecordBatch:
+    """What a task says of its pieces: each different one with its weight, and the places of those it has twice."""
+    order = np.lexsort((h2, h1, fp))
+    fp, h1, h2, rk, low, wide, n = (x[order] for x in (fp, h1, h2, rk, low, wide, n))
+    heads = np.flatnonzero(_changes(fp, h1, h2))
+    weight = np.add.reduceat(n, heads)
+    own = fp[heads]
+    firsts = np.flatnonzero(_changes(own))
+    pieces = np.diff(np.append(firsts, len(own)))
+    kind = np.where(np.repeat(pieces, pieces) > spread, 3, 0)
+    many = pieces > spread
+    twice = np.repeat(weight, np.diff(np.append(heads, len(fp)))) > 1
+    known = _marked(rk[twice], low[twice], wide[twice])
+    sizes = len(heads), int(many.sum()), len(known[0])
+    none = [np.zeros(k, np.int64) for k in sizes]
+    join = lambda *parts: np.concatenate(parts)
     return _batch(
         FOUND,
-        join(fp[single], fp[heads][many], rk[m][at]),
-        np.repeat([0, 1, 2], sizes).astype(np.int32),
-        join(fp[single], fp[heads][many], fp[m][at]),
-        join(zeros[0] + 1, n[many], zeros[2]),
-        join(zeros[0] + 1, kinds[many], zeros[2]),
-        join(rk[single], zeros[1], rk[m][at]),
-        join(low[single], zeros[1], low[m][at]),
-        join(high[single], zeros[1], top),
+        join(kind, none[1] + 1, none[2] + 2).astype(np.int32),
+        join(own, own[firsts][many], none[2]),
+        join(h1[heads], none[1], none[2]),
+        join(h2[heads], none[1], none[2]),
+        join(rk[heads], none[1], known[0]),
+        join(low[heads], none[1], known[1]),
+        join(wide[heads], none[1], known[2]),
+        join(weight, pieces[many], none[2]),
     )
 
 
-def _counted(rows: DataFrame, length: int, gram: int, windows: bool) -> DataFrame:
-    """The anchors of texts (rk, text), or of the windows in their ``runs``, as each task meets them."""
+def _flushed(held: list[tuple], spread: int) -> pa.RecordBatch:
+    return _met(*(np.concatenate(x).view(np.int64) for x in zip(*held)), spread)
+
+
+def _pieces(texts: DataFrame, length: int, gram: int, spread: int) -> DataFrame:
+    """The pieces of all texts, as each task meets them."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
             keys = batch.column("rk").to_numpy()
-            wanted = batch.column("runs").to_pylist() if windows else None
             for at, offsets, parts in blocks(batch.column("text").to_pylist(), length):
                 block = Block(parts, length, gram)
                 part, anchor, low, high = block.runs()
                 shift = np.array(offsets, np.int64) - block.heads
-                if windows:
-                    low = high = np.flatnonzero(_covered(block, [wanted[r] for r in at], shift))
-                    part = np.searchsorted(block.heads, low, "right") - 1
-                    fp = content = block.hashes(low, low + length)
-                else:
-                    fp, content = block.hashes(anchor, anchor + gram), block.hashes(low, high + length)
-                held.append((fp.view(np.int64), content, keys[np.array(at)[part]], low + shift[part], high + shift[part]))
-                size += 40 * len(fp)
+                ends = high + length
+                held.append((
+                    block.hashes(anchor, anchor + gram), block.hashes(low, ends), block.hashes_2(low, ends),
+                    keys[np.array(at)[part]], low + shift[part], high - low + 1, np.ones(len(low), np.int64),
+                ))
+                size += 56 * len(low)
                 if size >= HELD:
-                    yield _met(*map(np.concatenate, zip(*held)))
+                    yield _flushed(held, spread)
                     held, size = [], 0
         if held:
-            yield _met(*map(np.concatenate, zip(*held)))
+            yield _flushed(held, spread)
 
-    return rows.select("rk", "text", *(["runs"] if windows else [])).mapInArrow(found, FOUND)
+    return texts.select("rk", "text").mapInArrow(found, FOUND)
 
 
-def _covered(block: Block, runs: list[list[dict]], shift: np.ndarray) -> np.ndarray:
-    """Which window starts of a block lie in the runs of their text."""
-    edges = np.zeros(len(block.data) + 2, np.int32)
-    for part, (own, head, size) in enumerate(zip(runs, block.heads, block.sizes)):
-        top = head + size - block.length
-        for run in own:
-            low, high = max(run["low"] - shift[part], head), min(run["high"] - shift[part], top)
-            if low <= high:
-                edges[low] += 1
-                edges[high + 1] -= 1
-    return np.cumsum(edges)[: len(block.data)] > 0
+def _windows(rows: DataFrame, length: int, gram: int, spread: int) -> DataFrame:
+    """The windows of the pieces in ``runs``, one by one."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for rk, text, runs in zip(*(batch.column(c).to_pylist() for c in ("rk", "text", "runs"))):
+                data = text.encode()
+                for run in runs:
+                    low, wide = run["low"], run["wide"]
+                    block = Block([data[low : low + wide - 1 + length]], length, gram)
+                    at = np.arange(wide)
+                    h1, h2 = block.hashes(at, at + length), block.hashes_2(at, at + length)
+                    held.append((h1, h1, h2, np.full(wide, rk), low + at, np.ones(wide, np.int64), np.full(wide, run["n"])))
+                    size += 56 * wide
+                if size >= HELD:
+                    yield _flushed(held, spread)
+                    held, size = [], 0
+        if held:
+            yield _flushed(held, spread)
+
+    return rows.select("id", "rk", "text", "runs").mapInArrow(found, FOUND)
 
 
 def _repeated(found: DataFrame, group: int) -> DataFrame:
-    """(kind, fp, rk, low, high): kind 0 places whose anchor is found elsewhere, kind 1 anchors of more than ``group`` surroundings."""
-    fields = "kind int, fp long, rk long, low long, high long"
+    """Pieces whose anchor is found elsewhere (kind 0), anchors of more than ``group`` pieces (1), and windows known to have a copy (2)."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
         for batch in batches:
-            kind, fp, n, surroundings, rk, low, high = (batch.column(c).to_numpy() for c in ("kind", "fp", "n", "surroundings", "rk", "low", "high"))
-            known = kind == 2
+            rows = [batch.column(c).to_numpy() for c in ("kind", "fp", "h1", "h2", "rk", "low", "wide", "n")]
+            known = rows[0] == 2
             if known.any():
-                yield _batch(fields, np.zeros(known.sum(), np.int32), fp[known], rk[known], low[known], high[known])
-            held.append(tuple(x[~known] for x in (kind, fp, n, surroundings, rk, low, high)))
-        if not held:
-            return
-        kind, fp, n, surroundings, rk, low, high = map(np.concatenate, zip(*held))
-        if not len(fp):
+                kind, fp, _, _, rk, low, wide, n = (x[known] for x in rows)
+                yield _batch(MET, kind, fp, rk, low, wide, n)
+            held.append([x[~known] for x in rows])
+        if not held or not sum(len(x[0]) for x in held):
             return
-        names, at = np.unique(fp, return_inverse=True)
-        total, different = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
-        np.add.at(total, at, n)
-        np.add.at(different, at, surroundings)
-        hit = (kind == 0) & (total[at] > 1)
-        yield _batch(fields, np.zeros(hit.sum(), np.int32), fp[hit], rk[hit], low[hit], high[hit])
-        full = names[different > group]
-        nothing = np.zeros(len(full), np.int64)
-        yield _batch(fields, np.ones(len(full), np.int32), full, nothing, nothing, nothing)
+        rows = list(map(np.concatenate, zip(*held)))
+        held.clear()
+        order = np.lexsort((rows[3], rows[2], rows[0] == 1, rows[1]))
+        kind, fp, h1, h2, rk, low, wide, n = (x[order] for x in rows)
+        counted = kind == 1
+        firsts = np.flatnonzero(_changes(fp))
+        owner = np.cumsum(_changes(fp)) - 1
+        new = _changes(fp, h1, h2, counted) & ~counted
+        different = np.bincount(owner, np.where(counted, n, new), len(firsts))
+        total = np.bincount(owner, n, len(firsts))
+        full = fp[firsts][different > group]
+        # of equal pieces the first goes on, the places of the others are known to have a copy
+        copies = ~counted & ~new & (n == 1)
+        heads = np.flatnonzero(new)
+        weight = np.add.reduceat(np.where(counted, 0, n), heads) if len(heads) else n[:0]
+        hit = (total[owner[heads]] > 1) | (kind[heads] == 3)
+        heads, weight = heads[hit], weight[hit]
+        none = np.zeros(len(full), np.int64)
+        yield _batch(MET, np.zeros(len(heads), np.int32), fp[heads], rk[heads], low[heads], wide[heads], weight)
+        yield _batch(MET, np.ones(len(full), np.int32), full, none, none, none, none)
+        marks = _marked(rk[copies], low[copies], wide[copies])
+        none = np.zeros(len(marks[0]), np.int64)
+        yield _batch(MET, (none + 2).astype(np.int32), none, *marks, none)
 
-    return found.repartition("deal").mapInArrow(meet, fields)
+    deal = F.when(F.col("kind") == 2, F.col("rk")).when(F.col("kind") == 3, F.col("h1")).otherwise(F.col("fp"))
+    return found.repartition(deal).mapInArrow(meet, MET)
 
 
 def _by_text(texts: DataFrame, hits: DataFrame, *fields: str, how: str = "inner") -> DataFrame:
@@ -256,126 +300,69 @@ def _by_text(texts: DataFrame, hits: DataFrame, *fields: str, how: str = "inner"
     return texts.join(runs.hint("shuffle_hash"), "rk", how)
 
 
-# weight 0: windows that have a copy; else a piece and how often a task has it, with its place if that is once
-PIECES = "deal long, key long, text binary, weight long, rk long, start long, n long"
-
-
-def _pieces(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """The runs of texts cut into pieces, copies inside a task put together."""
-    half = length // 2
-
-    def flushed(pieces: dict[bytes, tuple[int, list]]) -> Iterator[pa.RecordBatch]:
-        once = [(key, text, *places[0]) for text, (key, places) in pieces.items() if len(places) == 1]
-        more = [(key, text, len(places)) for text, (key, places) in pieces.items() if len(places) > 1]
-        known = [(*place, len(text) - length + 1) for text, (_, places) in pieces.items() if len(places) > 1 for place in places]
-        for at in range(0, len(once), 20_000):
-            key, text, rk, start = zip(*once[at : at + 20_000])
-            yield _batch(PIECES, key, key, text, [1] * len(key), rk, start, [len(t) - length + 1 for t in text])
-        if more:
-            key, text, weight = zip(*more)
-            nothing = pa.nulls(len(key), pa.int64())
-            yield _batch(PIECES, key, key, text, weight, nothing, nothing, nothing)
-        if known:
-            rk, start, n = (np.array(x, np.int64) for x in zip(*known))
-            order = np.lexsort((start, rk))
-            rk, start, stop = rk[order], start[order], (start + n)[order]
-            new = np.ones(len(rk), bool)
-            new[1:] = (rk[1:] != rk[:-1]) | (start[1:] > stop[:-1])
-            heads = np.flatnonzero(new)
-            size = len(heads)
-            n = np.maximum.reduceat(stop, heads) - start[heads]
-            yield _batch(PIECES, rk[heads], pa.nulls(size, pa.int64()), pa.nulls(size, pa.binary()), np.zeros(size, np.int64), rk[heads], start[heads], n)
+SLICES = "key long, text binary, weight long, rk long, start long"
+
+
+def _slices(rows: DataFrame, length: int) -> DataFrame:
+    """The bytes of the pieces in ``runs``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces: dict[bytes, tuple[int, list]] = {}
-        size = 0
         for batch in batches:
-            keys, wanted = batch.column("rk").to_pylist(), batch.column("runs").to_pylist()
-            for at, offsets, parts in blocks(batch.column("text").to_pylist(), length):
-                block = Block(parts, length, gram)
-                shift = np.array(offsets, np.int64) - block.heads
-                cold, alone = (_covered(block, [[r for r in wanted[k] if r["alone"] == flag] for k in at], shift) for flag in (False, True))
-                part, low, high, key = _cut(block, cold, alone, half)
-                place = (low + shift[part]).tolist()
-                for p, a, b, k, s in zip(part.tolist(), low.tolist(), (high + length).tolist(), key.tolist(), place):
-                    text = block.data[a:b]
-                    own = pieces.get(text)
-                    if own is None:
-                        pieces[text] = own = (k, [])
-                        size += len(text) + 100
-                    own[1].append((keys[at[p]], s))
-                    size += 60
-                if size >= HELD:
-                    yield from flushed(pieces)
-                    pieces, size = {}, 0
-        yield from flushed(pieces)
-
-    return rows.select("id", "rk", "text", "runs").mapInArrow(cut, PIECES)
-
-
-def _cut(block: Block, cold: np.ndarray, alone: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Part, first and last window, and key of each piece of a block."""
-    part, anchor, low, high = block.runs()
-    # windows left of the anchor by half a window or more contain the half before it, others the half after it
-    turn = anchor - half
-    sides = [(low, np.minimum(high, turn), anchor - half, anchor + block.gram), (np.maximum(low, turn + 1), high, anchor, anchor + block.length - half)]
-    out = []
-    for first, last, a, b in sides:
-        some = np.flatnonzero(first <= last)
-        if not len(some):
-            continue
-        # windows of the run that are wanted, in rows
-        sizes = (last - first + 1)[some]
-        heads = np.cumsum(sizes) - sizes
-        window = np.arange(sizes.sum()) + np.repeat(first[some] - heads, sizes)
-        owner = np.repeat(some, sizes)
-        wanted = cold[window]
-        window, owner = window[wanted], owner[wanted]
-        if len(window):
-            new = np.ones(len(window), bool)
-            new[1:] = (owner[1:] != owner[:-1]) | (window[1:] != window[:-1] + 1)
-            at = np.flatnonzero(new)
-            end = np.append(at[1:], len(window)) - 1
-            who = owner[at]
-            out.append((part[who], window[at], window[end], block.hashes(a[who], b[who])))
-    lone = np.flatnonzero(alone & ~cold)
-    if len(lone):
-        out.append((np.searchsorted(block.heads, lone, "right") - 1, lone, lone, ~block.hashes(lone, lone + block.length)))
-    if not out:
-        return (np.zeros(0, np.int64),) * 4
-    part, low, high, key = map(np.concatenate, zip(*out))
-    return part, low, high, key.view(np.int64)
+            keys, out = [], []
+            for rk, text, runs in zip(*(batch.column(c).to_pylist() for c in ("rk", "text", "runs"))):
+                data = text.encode()
+                keys += [rk] * len(runs)
+                out += [(r["fp"], data[r["low"] : r["low"] + r["wide"] - 1 + length], r["n"], r["low"]) for r in runs]
+                if len(out) >= 20_000:
+                    fp, piece, n, low = zip(*out)
+                    yield _batch(SLICES, fp, piece, n, keys, low)
+                    keys, out = [], []
+            if out:
+                fp, piece, n, low = zip(*out)
+                yield _batch(SLICES, fp, piece, n, keys, low)
+
+    return rows.select("id", "rk", "text", "runs").mapInArrow(cut, SLICES)
 
 
 def suffix_order(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
     """Suffixes in order, by doubled prefixes. ``left`` is how far each place is from its string's end, where the symbol is 0; ends are in order of place."""
-    n, first = len(symbols), 7
-    key = np.zeros(n, np.uint64)
-    padded = np.concatenate([symbols, np.zeros(first, symbols.dtype)]).astype(np.uint64)
-    for k in range(first):
-        key = (key << np.uint64(9)) | np.where(left >= k, padded[k : k + n], np.uint64(0))
-    order = np.argsort(key)
-    keys = key[order]
-    new = np.ones(n, bool)
-    new[1:] = keys[1:] != keys[:-1]
+    n = len(symbols)
+    bits = max(int(symbols.max()).bit_length(), 1)
+
+    def followed(key: np.ndarray, more: np.ndarray, have: int, add: int) -> np.ndarray:
+        """Keys of ``have`` symbols, then ``add`` more; nothing follows an end."""
+        out = key << np.uint64(add * bits)
+        if have < n:
+            out[:-have] |= np.where(left[:-have] >= have, more[have:], np.uint64(0))
+        return out
+
+    keys, first = {1: symbols.astype(np.uint64)}, 1
+    while 2 * first * bits <= 63:
+        keys[2 * first] = followed(keys[first], keys[first], first, first)
+        first *= 2
+    key = keys[first]
+    for size in sorted(keys, reverse=True)[1:]:
+        if (first + size) * bits <= 63:
+            key, first = followed(key, keys[size], first, size), first + size
+    order = np.argsort(key).astype(np.int32)
+    key = key[order]
+    new = _changes(key)
     ended = np.flatnonzero(left[order] < first)
-    order[ended] = order[ended][np.lexsort((order[ended], keys[ended]))]
+    order[ended] = order[ended][np.lexsort((order[ended], key[ended]))]
     new[ended] = True
-    rank = np.empty(n, np.int64)
-    heads = np.flatnonzero(new)
+    rank = np.empty(n, np.int32)
+    heads = np.flatnonzero(new).astype(np.int32)
     sizes = np.diff(np.append(heads, n))
     rank[order] = np.repeat(heads, sizes)
-    slots = np.flatnonzero(np.repeat(sizes, sizes) > 1)
+    slots = np.flatnonzero(np.repeat(sizes, sizes) > 1).astype(np.int32)
     done = first
     while len(slots):
         places = order[slots]
-        key = (rank[places] << 32) | rank[places + done]
+        key = (rank[places].astype(np.int64) << 32) | rank[places + done]
         by = np.argsort(key)
         places, key = places[by], key[by]
         order[slots] = places
-        new = np.ones(len(slots), bool)
-        new[1:] = key[1:] != key[:-1]
-        heads = np.flatnonzero(new)
+        heads = np.flatnonzero(_changes(key))
         sizes = np.diff(np.append(heads, len(slots)))
         rank[places] = np.repeat(slots[heads], sizes)
         slots = slots[np.repeat(sizes, sizes) > 1]
@@ -386,42 +373,49 @@ def suffix_order(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
 def bounded_edges(symbols: np.ndarray, order: np.ndarray, strings: int, length: int) -> np.ndarray:
     """Where neighbours in ``order`` share fewer than ``length`` symbols (True before a suffix), by backward extension."""
     n = len(symbols)
-    before = np.where(order > 0, symbols[order - 1], 0)
-    by = np.argsort(before, kind="stable")
-    step = np.empty(n, np.int64)
-    step[by] = np.arange(n)
+    before = np.where(order > 0, symbols[order - 1], 0).astype(symbols.dtype)
+    by = np.argsort(before, kind="stable").astype(np.int32)
+    step = np.empty(n, np.int32)
+    step[by] = np.arange(n, dtype=np.int32)
+    # the next and the last slot with the same symbol before it
     same = before[by[1:]] == before[by[:-1]]
-    later, earlier = np.full(n, n), np.full(n, -1)
+    later, earlier = np.full(n, n, np.int32), np.full(n, -1, np.int32)
     later[by[:-1][same]] = by[1:][same]
     earlier[by[1:][same]] = by[:-1][same]
+    live = before > 0
     edge = np.zeros(n + 1, bool)
     edge[[0, n]] = True
     # common prefix 0: every end of a string is a symbol of its own
     counts = np.bincount(symbols)
     ends = np.cumsum(counts)
-    low = np.concatenate([np.arange(strings), (ends - counts)[1:][counts[1:] > 0]])
-    high = np.concatenate([np.arange(strings), ends[1:][counts[1:] > 0] - 1])
+    used = counts[1:] > 0
+    low = np.concatenate([np.arange(strings), (ends - counts)[1:][used]]).astype(np.int32)
+    high = np.concatenate([np.arange(strings), ends[1:][used] - 1]).astype(np.int32)
     edge[high + 1] = True
+    alone = low == high
+    lone, low, high = low[alone], low[~alone], high[~alone]
     for _ in range(1, length):
-        if not len(low):
+        if not len(lone) and not len(low):
             break
-        alone = low == high
-        lone = low[alone]
-        lone = step[lone[before[lone] > 0]]
+        lone = step[lone[live[lone]]]
         lone = lone[~edge[lone + 1]]
         edge[lone + 1] = True
-        low, high = low[~alone], high[~alone]
+        if not len(low):
+            continue
         sizes = high - low + 1
         heads = np.cumsum(sizes) - sizes
-        slot = np.arange(sizes.sum()) + np.repeat(low - heads, sizes)
-        live = before[slot] > 0
-        firsts = slot[live & (earlier[slot] < np.repeat(low, sizes))]
-        lasts = slot[live & (later[slot] > np.repeat(high, sizes))]
+        slot = np.arange(sizes.sum(), dtype=np.int32) + np.repeat((low - heads).astype(np.int32), sizes)
+        use = live[slot]
+        firsts = slot[use & (earlier[slot] < np.repeat(low, sizes))]
+        lasts = slot[use & (later[slot] > np.repeat(high, sizes))]
         # one interval for each interval and symbol; both lists are in the same order
         low, high = np.sort(step[firsts]), np.sort(step[lasts])
         new = ~edge[high + 1]
-        edge[high[new] + 1] = True
-        low, high = np.concatenate([low[new], lone]), np.concatenate([high[new], lone])
+        low, high = low[new], high[new]
+        edge[high + 1] = True
+        alone = low == high
+        lone = np.concatenate([lone, low[alone]])
+        low, high = low[~alone], high[~alone]
     return edge[:n]
 
 
@@ -432,7 +426,9 @@ def repeated_windows(strings: list[bytes], weights: list[int], length: int) -> t
     """
     sizes = np.array([len(s) + 1 for s in strings], np.int64)
     heads = np.cumsum(sizes) - sizes
-    symbols = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8).astype(np.uint16) + 1
+    seen = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
+    numbers = np.cumsum(np.bincount(seen, minlength=256) > 0)
+    symbols = numbers.astype(np.uint8 if numbers[-1] < 256 else np.uint16)[seen]
     symbols[heads + sizes - 1] = 0
     left = np.repeat(heads + sizes - 1, sizes) - np.arange(len(symbols))
     order = suffix_order(symbols, left)
@@ -446,11 +442,11 @@ def repeated_windows(strings: list[bytes], weights: list[int], length: int) -> t
     return out, heads
 
 
-def _marks(pieces: DataFrame, length: int) -> DataFrame:
-    """(rk, start, n): runs of windows that are found elsewhere too."""
-    fields = "rk long, start long, n long"
+def _searched(slices: DataFrame, length: int) -> DataFrame:
+    """(rk, low, wide): runs of windows that are found elsewhere too, shard by shard."""
+    fields = "rk long, low long, wide long"
 
-    def searched(rows: list[tuple]) -> pa.RecordBatch:
+    def shard(rows: list[tuple]) -> pa.RecordBatch:
         texts: dict[bytes, int] = {}
         weights, places = [], []
         for text, weight, rk, start in rows:
@@ -459,64 +455,60 @@ def _marks(pieces: DataFrame, length: int) -> DataFrame:
                 weights.append(0)
                 places.append([])
             weights[at] += weight
-            if rk is not None:
-                places[at].append((rk, start))
+            places[at].append((rk, start))
         twice, heads = repeated_windows(list(texts), weights, length)
         edges = np.flatnonzero(np.diff(np.concatenate([[False], twice, [False]]).astype(np.int8)))
         lows, highs = edges[::2], edges[1::2]
         owner = np.searchsorted(heads, lows, "right") - 1
-        out = [(rk, start + low, high - low) for who, low, high in zip(owner.tolist(), (lows - heads[owner]).tolist(), (highs - heads[owner]).tolist()) for rk, start in places[who]]
+        runs = zip(owner.tolist(), (lows - heads[owner]).tolist(), (highs - lows).tolist())
+        out = [(rk, start + low, wide) for who, low, wide in runs for rk, start in places[who]]
         return _batch(fields, *zip(*out)) if out else _batch(fields, [], [], [])
 
     def expanded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, size, last = [], 0, None
+        held, size, last = [], 0, None
         for batch in batches:
-            known = np.flatnonzero(batch.column("weight").to_numpy() == 0)
-            if len(known):
-                some = batch.take(pa.array(known))
-                yield _batch(fields, some.column("rk"), some.column("start"), some.column("n"))
             columns = (batch.column(c).to_pylist() for c in ("key", "text", "weight", "rk", "start"))
-            for key, text, weight, rk, start in zip(*columns):
-                if not weight:
-                    continue
+            for key, *row in zip(*columns):
                 if size >= SHARD and key != last:
-                    yield searched(shard)
-                    shard, size = [], 0
-                shard.append((text, weight, rk, start))
-                size += len(text)
+                    yield shard(held)
+                    held, size = [], 0
+                held.append(row)
+                size += len(row[0])
                 last = key
-        if shard:
-            yield searched(shard)
-
-    return pieces.repartition("deal").sortWithinPartitions("key").mapInArrow(expanded, fields)
-
-
-def _hits(texts: DataFrame, length: int, gram: int, group: int) -> DataFrame:
-    """(rk, low, high, alone): windows that may have a copy; ``alone`` where each is a piece of its own."""
-    found = saved(_repeated(_counted(texts, length, gram, False), group))
-    hits = found.where("kind = 0").select("fp", "rk", "low", "high")
-    full = found.where("kind = 1").select("fp")
-    if fits(full, 0):
-        return hits.select("rk", "low", "high", F.lit(False).alias("alone"))
-    if fits(full, BROADCAST_ROWS):
-        marked = hits.join(F.broadcast(full.withColumn("alone", F.lit(True))), "fp", "left")
-    else:
-        salted = full.select("fp", F.lit(True).alias("alone"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-        marked = hits.withColumn("salt", F.pmod("rk", F.lit(SALTS)).cast("int")).join(salted, ["fp", "salt"], "left")
-    windows = _counted(_by_text(texts, marked.where("alone"), "low", "high"), length, gram, True)
-    lone = _repeated(windows, group).where("kind = 0").select("rk", "low", "high", F.lit(True).alias("alone"))
-    return marked.where("alone IS NULL").select("rk", "low", "high", F.lit(False).alias("alone")).unionByName(lone)
-
-
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
+        if held:
+            yield shard(held)
+
+    return slices.repartition("key").sortWithinPartitions("key").mapInArrow(expanded, fields)
+
+
+def _marks(texts: DataFrame, length: int, gram: int, group: int, spread: int) -> DataFrame:
+    """(rk, low, wide): all windows that are found elsewhere too."""
+    found = saved(_repeated(_pieces(texts, length, gram, spread), group))
+    pieces, full = found.where("kind = 0"), found.where("kind = 1").select("fp")
+    marks = found.where("kind = 2").select("rk", "low", "wide")
+    fields = ("fp", "low", "wide", "n")
+    if not fits(full, 0):
+        if fits(full, BROADCAST_ROWS):
+            split = pieces.join(F.broadcast(full.withColumn("alone", F.lit(True))), "fp", "left")
+        else:
+            salted = full.select("fp", F.lit(True).alias("alone"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+            split = pieces.withColumn("salt", F.pmod("rk", F.lit(SALTS)).cast("int")).join(salted, ["fp", "salt"], "left")
+        # read twice, but not saved: as part of the one plan it meets the texts in their one exchange
+        alone = _repeated(_windows(_by_text(texts, split.where("alone"), *fields), length, gram, spread), group)
+        marks = marks.unionByName(alone.where("kind = 2").select("rk", "low", "wide"))
+        pieces = split.where("alone IS NULL").select("rk", *fields).unionByName(alone.where("kind = 0").select("rk", *fields))
+    return marks.unionByName(_searched(_slices(_by_text(texts, pieces, *fields), length), length))
+
+
+def remove_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, group: int = GROUP, spread: int = SPREAD
+) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, spans, kept): removed runs as (start, stop) in bytes, and the bytes that are left."""
     if not 0 < gram <= length // 2:
         raise ValueError("gram must be at most half of length")
     bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("rk"), F.col(text_col).alias("text"))
-    hits = _hits(texts, length, gram, group)
-    marks = _marks(_pieces(_by_text(texts, hits, "low", "high", "alone"), length, gram), length)
-    marked = _by_text(texts, marks, "start", "n", how="left").select("id", "rk", "text", "runs")
+    marked = _by_text(texts, _marks(texts, length, gram, group, spread), "low", "wide", how="left").select("id", "rk", "text", "runs")
     kind = marked.schema["id"].dataType.simpleString()
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -525,7 +517,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for text, runs in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist()):
                 data = text.encode() if text else b""
                 spans: list[list[int]] = []
-                for start, stop in sorted((r["start"], r["start"] + r["n"] - 1 + length) for r in runs or ()):
+                for start, stop in sorted((r["low"], r["low"] + r["wide"] - 1 + length) for r in runs or ()):
                     if spans and start <= spans[-1][1]:
                         spans[-1][1] = max(spans[-1][1], stop)
                     else:
