@@ -6,7 +6,7 @@ import re
 import pytest
 
 from textgauge.functions.text import BLOCK
-from textgauge.operators import matching, scoring
+from textgauge.operators import automaton, matching, scoring
 from textgauge.operators.lexicon import CATEGORY_CAPS, Lexicon
 from textgauge.plans.bias_audit import bias_audit, write_bias_audit
 from textgauge.session import scratch_path
@@ -202,7 +202,7 @@ def test_large_lexicon_join_equals_small(spark):
     df = spark.createDataFrame(list(enumerate(EDGE_TEXTS + random_texts(80, seed=5))), "id int, text string")
     terms = Lexicon(TERMS).frame(spark)
     small = matching.match_terms(df, terms, "id").collect()
-    large = matching.match_terms(df, terms, "id", max_broadcast=2, max_nested=1).collect()
+    large = matching.match_terms(df, terms, "id", max_broadcast=2, part_chars=10).collect()
     assert sorted(small) == sorted(large)
     texts = dict(df.collect())
     expected = {}
@@ -212,6 +212,33 @@ def test_large_lexicon_join_equals_small(spark):
     assert {(r.id, r.term): r.n for r in small} == expected
 
 
+@pytest.mark.parametrize("part_chars,allowlist", [(1 << 20, ()), (9, ()), (30, ("She", "aa ", "é"))])
+def test_table_hits_have_places_and_contexts(spark, part_chars, allowlist):
+    """Automata of all sizes find what a regex engine finds, place by place."""
+    texts = EDGE_TEXTS + random_texts(120, seed=11) + [None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    terms = spark.createDataFrame([*TERMS, ("(she)", "mark", 1.0), ("", "empty", 1.0), (None, "none", 1.0)], "term string, category string, weight double")
+    hits = automaton.term_hits(df, terms, "id", allowlist=allowlist, part_chars=part_chars).collect()
+    expected = [
+        (i, term, start, end, context)
+        for i, text in enumerate(texts)
+        for term, start, end, context in python_hits(text or "", [*TERMS, ("(she)", "mark", 1.0)], allowlist)
+    ]
+    assert sorted((r.id, r.term, r.start, r.end, r.context) for r in hits) == sorted(expected)
+    weights = {term: (category, weight) for term, category, weight in TERMS}
+    assert all((r.category, r.weight) == weights[r.term] for r in hits if r.term in weights)
+
+
+def test_table_hits_of_an_empty_lexicon_and_many_in_one_text(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "ab " * 30_000), (2, "")], "id int, text string")
+    none = spark.createDataFrame([], "term string, category string, weight double")
+    assert automaton.term_hits(df, none, "id").count() == 0
+    some = spark.createDataFrame([("ab", "x", 1.0), ("b a", "y", 1.0)], none.schema)
+    counts = {r.term: r.n for r in automaton.term_counts(df, some, "id").collect()}
+    assert counts == {"ab": 30_000, "b a": 29_999}
+    assert automaton.term_hits(df, some, "id").count() == 59_999
+
+
 def test_scores_from_hit_table_equal_scores_in_rows(spark):
     texts = EDGE_TEXTS + random_texts(60, seed=9) + [None]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")

@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import pytest
@@ -40,6 +41,12 @@ def test_column_json(spark, tmp_path):
 def test_jsonl(spark, tmp_path):
     path = write(tmp_path, "a.jsonl", '{"prompt":"snow","label":0}\n\n{"label":1,"prompt":"ice"}\n')
     assert [tuple(r) for r in texts.read_jsonl_texts(spark, path).collect()] == [("snow", 0), ("ice", 1)]
+    mixed = write(tmp_path, "b.jsonl", '{"prompt":"a","text":"b","label":1.0}\n{"text":null,"prompt":"c","label":"0"}\n{"label":1}\n')
+    assert [tuple(r) for r in texts.read_jsonl_texts(spark, mixed).collect()] == [("b", 1), ("c", 0), (None, 1)]
+    with pytest.raises(Exception, match="not a JSON object: nonsense"):
+        texts.read_jsonl_texts(spark, write(tmp_path, "c.jsonl", '{"text":"a","label":1}\nnonsense\n')).collect()
+    with pytest.raises(Exception, match="abc"):
+        texts.read_jsonl_texts(spark, write(tmp_path, "d.jsonl", '{"text":"a","label":"abc"}\n')).collect()
 
 
 def test_prompt_batches(spark, tmp_path):
@@ -108,6 +115,29 @@ def test_file_fingerprint(spark, tmp_path):
     assert [r.bytes for r in files.list_files(spark, str(tmp_path)).collect()] == [2, 37]
 
 
+def test_large_files_are_streamed(spark, tmp_path):
+    """Beyond a row's size files are read in chunks; names need not be plain."""
+    sizes = {"a b%20é#?.json": 5, "b.json": 3, "c.json": 4, "d.json": 2 * files.CHUNK + 1}
+    for name, size in sizes.items():
+        with open(tmp_path / name, "wb") as out:
+            out.write(bytes(range(256)) * (size // 256) + b"x" * (size % 256))
+    rows = files.file_fingerprints(spark, str(tmp_path), max_row_bytes=3).collect()
+    found = {r.path.rsplit("/", 1)[1]: (r.bytes, r.sha256) for r in rows}
+    assert sorted(found.values()) == sorted((n, hashlib.sha256((tmp_path / k).read_bytes()).hexdigest()) for k, n in sizes.items())
+
+
+def test_sparse_file_of_gigabytes(spark, tmp_path):
+    """A file of zeros that no row could hold."""
+    size = 3 << 30
+    with open(tmp_path / "zeros.json", "wb") as out:
+        out.truncate(size)
+    digest = hashlib.sha256()
+    for _ in range(size >> 24):
+        digest.update(bytes(1 << 24))
+    row = files.file_fingerprints(spark, str(tmp_path)).first()
+    assert (row.bytes, row.sha256) == (size, digest.hexdigest())
+
+
 def test_catalog(spark):
     df = spark.createDataFrame([(1, "hello"), (2, "world"), (2, "world")], "id int, text string")
     row = catalog.profile(df, "t", "csv").first()
@@ -208,7 +238,7 @@ def test_prompt_sinks(spark):
     sinks.write_prompts(df, path + "/a")
     sinks.write_prompts(df, path + "/b", with_metadata=False)
     assert spark.read.json(path + "/a").columns == ["prompt", "topic"]
-    assert prompts.read_prompts_jsonl(spark, path + "/b").first().asDict() == {"prompt": "p"}
+    assert prompts.read_prompts_jsonl(spark, path + "/b").first().asDict() == {"prompt": "p"} | dict.fromkeys(prompts.FIELDS)
 
 
 def test_shared_folder_is_reused(spark):

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textgauge.functions.numbers import clip, rate
-from textgauge.functions.text import contains_any, strip_terms, term_pattern_column, words
-from textgauge.operators import matching, scoring
+from textgauge.functions.text import WORD, contains_any, strip_terms, term_pattern_column, words
+from textgauge.operators import automaton, matching, scoring
 from textgauge.operators.lexicon import BUILTIN_TERMS, CATEGORY_CAPS, Lexicon, overlay_frames
 from textgauge.plans.bias_audit import bias_audit
 from textgauge.session import scratch_path
@@ -326,6 +326,52 @@ def hit_contexts(spark: SparkSession, sf: str) -> DataFrame:
     return matching.hit_rows(hits, "doc_id").select("doc_id", "term", F.col("start").alias("hit_start"), "context")
 
 
+ALL_WORDS = rf"""WITH parts AS (
+  SELECT doc_id, text, unnest(a) AS r, generate_subscripts(a, 1) AS i
+  FROM (SELECT doc_id, text, regexp_extract_all(lower(text), '{W}+|{NOT_W}+') AS a FROM documents)),
+placed AS (SELECT *, CAST(sum(length(r)) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS hit_end FROM parts),
+spans AS (SELECT *, hit_end - length(r) AS hit_start FROM placed WHERE regexp_matches(r, '^{W}'))
+SELECT doc_id, r AS term, CAST(length(r) AS DOUBLE) AS weight, CAST(hit_start AS INTEGER) AS hit_start,
+CAST(hit_end AS INTEGER) AS hit_end, {CONTEXT_SQL} FROM spans"""
+
+
+@query("F4_table_hit_contexts", ALL_WORDS)
+def table_hit_contexts(spark: SparkSession, sf: str) -> DataFrame:
+    """Places and contexts for a lexicon that holds every word of the documents."""
+    docs = documents(spark, sf)
+    terms = docs.select(F.explode(words(F.lower("text"))).alias("term")).distinct()
+    lexicon = terms.select("term", F.lit("word").alias("category"), F.length("term").cast("double").alias("weight"))
+    hits = automaton.term_hits(docs, lexicon, "doc_id")
+    return hits.select("doc_id", "term", "weight", F.col("start").alias("hit_start"), F.col("end").alias("hit_end"), "context")
+
+
+# Two words with one blank between them, found anywhere, so also inside longer
+# words: ends of a word with beginnings of the next. The second word lacks the
+# first one's first letter, so that two places of a phrase never overlap.
+PHRASES = rf"""WITH parts AS (
+  SELECT doc_id, unnest(a) AS u, unnest(list_append(a[2:], NULL)) AS gap, unnest(list_concat(a[3:], [NULL, NULL])[1:len(a)]) AS v
+  FROM (SELECT doc_id, regexp_extract_all(lower(text), '{W}+|{NOT_W}+') AS a FROM documents)),
+pairs AS (SELECT doc_id, u, v FROM parts WHERE gap = ' ' AND v IS NOT NULL AND regexp_matches(u, '^{W}')),
+lexicon AS (SELECT DISTINCT u || ' ' || v AS term FROM pairs WHERE NOT contains(v, substring(u, 1, 1))),
+counted AS (SELECT doc_id, u, v, count(*) AS n FROM pairs GROUP BY ALL),
+ends AS (SELECT doc_id, v, n, substring(u, CAST(i AS BIGINT)) AS e FROM (SELECT *, unnest(range(1, length(u) + 1)) AS i FROM counted)),
+heads AS (SELECT doc_id, n, e || ' ' || substring(v, 1, CAST(i AS BIGINT)) AS term FROM (SELECT *, unnest(range(1, length(v) + 1)) AS i FROM ends))
+SELECT doc_id, term, CAST(sum(n) AS BIGINT) AS n FROM heads SEMI JOIN lexicon USING (term) GROUP BY ALL"""
+
+
+@query("J3_phrase_table_hits", PHRASES)
+def phrase_table_hits(spark: SparkSession, sf: str) -> DataFrame:
+    """A lexicon of all pairs of neighbouring words of the documents: more than 100,000 phrases at sf0.01."""
+    docs = documents(spark, sf)
+    parts = docs.select(F.regexp_extract_all(F.lower("text"), F.lit(rf"{WORD}+|[^\p{{L}}\p{{N}}_]+"), F.lit(0)).alias("a"))
+    at = F.posexplode("a").alias("i", "u")
+    neighbours = parts.select("a", at).select("u", F.get("a", F.col("i") + 1).alias("gap"), F.get("a", F.col("i") + 2).alias("v"))
+    kept = neighbours.where((F.col("gap") == " ") & F.col("v").isNotNull() & F.regexp_like("u", F.lit(f"^{WORD}")) & ~F.contains("v", F.substring("u", 1, 1)))
+    lexicon = kept.select(F.concat_ws(" ", "u", "v").alias("term")).distinct()
+    lexicon = lexicon.select("term", F.lit("pair").alias("category"), F.lit(1.0).alias("weight"))
+    return matching.match_terms(docs, lexicon, "doc_id").select("doc_id", "term", "n")
+
+
 @query(
     "F2_term_patterns",
     rf"""WITH words AS (SELECT unnest(regexp_extract_all(lower(text), '{W}+')) AS term FROM benchmark),

@@ -257,7 +257,7 @@ def converged(spark: SparkSession, sf: str, settings: Settings) -> DataFrame:
     """A fit is right when the gradient of its loss is zero, whatever the solver did."""
     run = classifier_run(training_rows(spark, sf), "doc_id", settings, test_size=0.3)
     found = training.loss_gradient(run.model, run.split.where("split = 'train'"), settings)
-    return found.select((F.col("gradient") < 1e-3).alias("converged"), F.col("rows").alias("train_rows"))
+    return found.select((F.col("gradient") < 1e-6).alias("converged"), F.col("rows").alias("train_rows"))
 
 
 @query("M2_optimum", CONVERGED)
@@ -299,19 +299,20 @@ def fitted_run_summary(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "M5_grid_search",
     "SELECT CAST(ngram_max AS INTEGER) AS ngram_max, CAST(min_df AS INTEGER) AS min_df, CAST(c AS DOUBLE) AS \"C\", "
-    "CAST(row_number() OVER (ORDER BY ngram_max, min_df, c) - 1 AS INTEGER) AS place, true AS has_f1 "
+    "CAST(row_number() OVER (ORDER BY ngram_max, min_df, c) - 1 AS INTEGER) AS place, true AS has_f1, true AS converged "
     "FROM (VALUES (1), (2)) AS n(ngram_max), (VALUES (1), (2), (3)) AS m(min_df), (VALUES (0.5), (1.0), (2.0)) AS k(c)",
 )
 def grid_search(spark: SparkSession, sf: str) -> DataFrame:
     """The cells of the grid in their order, each with a score from all folds.
 
-    Ninety fits, each with all terms and as many iterations as it needs.
+    Ninety fits, each with all terms; a cell has converged if the gradient of
+    each of its five fits vanishes.
     """
     rows = training_rows(spark, sf)
     folded = features.apply_folds(rows, features.fit_folds(rows, "doc_id"), "doc_id")
     found = training.grid_search(folded, settings=BALANCED)
-    cells = [(c["ngram_max"], c["min_df"], c["C"], k, 0.0 <= c["f1"] <= 1.0) for k, c in enumerate(found.cells)]
-    return spark.createDataFrame(cells, "ngram_max int, min_df int, C double, place int, has_f1 boolean")
+    cells = [(c["ngram_max"], c["min_df"], c["C"], k, 0.0 <= c["f1"] <= 1.0, c["gradient"] < 1e-6) for k, c in enumerate(found.cells)]
+    return spark.createDataFrame(cells, "ngram_max int, min_df int, C double, place int, has_f1 boolean, converged boolean")
 
 
 @query("M6_test_predictions", SPLIT_SQL.format(share=0.3) + "SELECT doc_id, label, true AS consistent FROM p WHERE tested")

@@ -12,7 +12,7 @@ from textgauge.plans.prompt_batch import prompt_batch
 from textgauge.session import scratch_path
 from textgauge.sources import sinks
 from textgauge.sources.tables import table
-from textgauge.workload.registry import placed, query, values
+from textgauge.workload.registry import placed, query, spread, values
 
 KEY = ["p_partkey"]
 
@@ -28,8 +28,8 @@ MIXED_TEMPLATES = (
 
 
 def topics(spark: SparkSession, sf: str) -> DataFrame:
-    """A topic per part; partition-wise work, so few files are spread."""
-    return table(spark, sf, "part").select(
+    """A topic per part."""
+    return spread(table(spark, sf, "part")).select(
         "p_partkey",
         F.col("p_name").alias("topic"),
         F.col("p_type").alias("domain"),

@@ -28,8 +28,18 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table read by fewer tasks than the session has cores, dealt out to all of them.
+
+    A file with one row group is one task however long its texts take. Tables of
+    many files, as on a cluster, are left as they are read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents")
+    return spread(table(spark, sf, "documents"))
 
 
 def labelled(spark: SparkSession, sf: str, label: str = "quality") -> DataFrame:

@@ -10,7 +10,7 @@ from textgauge.operators import runs
 from textgauge.session import scratch_path
 from textgauge.sources.manifests import read_manifests
 from textgauge.sources.tables import table
-from textgauge.workload.registry import query
+from textgauge.workload.registry import query, spread
 
 STEPS = list(runs.REPORTS.values())
 
@@ -47,7 +47,7 @@ def manifests(spark: SparkSession, sf: str) -> DataFrame:
     again = F.array(step(STEPS[0][0], [artifact("summary.md")]))
     trained = F.when(key % 5 == 0, F.concat(trained, again)).otherwise(trained)
     trained = F.when(key % 22 == 0, F.slice(trained, 1, 0)).when(key % 11 != 0, trained)
-    return table(spark, sf, "orders").select(
+    return spread(table(spark, sf, "orders")).select(
         F.col("o_orderkey").cast("string").alias("generated_at_utc"),
         F.when(F.col("o_orderstatus") == "P", "failed").otherwise("passed").alias("status"),
         trained.alias("steps"),
