@@ -14,8 +14,9 @@ than the longest special token has characters, and no cut falls before a
 combining mark, so normalisation and splitting see what they need.
 
 Other texts are encoded word by word: white space always separates words for
-these tokenizers, so each distinct word is encoded once per batch and kept in a
-bounded cache. ``encode`` requires a tokenizer that drops ASCII white space.
+these tokenizers, so words and the pieces they split into are kept in bounded
+caches of two generations. ``encode`` requires a tokenizer that drops ASCII
+white space.
 
 Ids are little-endian unsigned 32-bit integers in a binary column: half the
 size of an array of longs, and Spark can hash or cut it without Python.
@@ -27,10 +28,12 @@ repeated rows.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import unicodedata
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -45,7 +48,18 @@ from textgauge.llm.common import bounded_batches, row_key
 LONG = 32_768
 #: Tokens on either side of a join at first; more than any special token's length.
 WINDOW = 32
-CACHED_WORDS = 120_000
+#: Words and pieces of words in each of two generations of a worker's cache, some 200 bytes each.
+CACHED_WORDS, CACHED_PIECES = 150_000, 200_000
+#: Fixed value: how the tokenizers that are split here split words.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same for lower-case printable ASCII and Latin letters that are one code point in every case.
+_LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LETTERS}]+|[0-9]|[^a-z0-9\n{_LETTERS}]+|\n")
+_ASCII = re.compile(rb"[\x21-\x7e]+")
+_PLAIN = re.compile(f"[\x21-\x7e{_LETTERS}]+")
+#: Byte-level models show a byte as the character of its number, or, if that is not printable, as the next one from 256.
+_HIDDEN = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b)]
+_SHOWN = {b: 256 + k for k, b in enumerate(_HIDDEN)}
 BLANKS = " \t\n\r\x0b\f"
 _BLANK = re.compile(f"[{BLANKS}]")
 
@@ -60,23 +74,85 @@ def tokenizer(path: str) -> Tokenizer:
     return made
 
 
+class Recent(dict):
+    """What was asked for lately: a full generation becomes the old one, and what is asked for again is kept."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size, self.old = size, {}
+
+    def missing(self, keys: set) -> set:
+        """Keys of neither generation; the others are in this one afterwards."""
+        if len(self) > self.size:
+            self.old = dict(self)
+            self.clear()
+        new = keys - self.keys()
+        again = new & self.old.keys()
+        self.update((key, self.old[key]) for key in again)
+        return new - again
+
+
 class WordEncoder:
-    """Encodes texts through their words."""
+    """Encodes texts through their words, and new words through their pieces.
+
+    Words of printable ASCII and precomposed Latin letters are lower-cased and
+    split as the tokenizer does, if it is one that does, and their pieces are
+    given to its merges alone; all other words are encoded whole.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
-        self.known: dict[bytes, bytes] = {}
+        self.words, self.pieces = Recent(CACHED_WORDS), Recent(CACHED_PIECES)
+        self.model = self.tokenizer.model if _splits_plainly(path) else None
+
+    def _merged(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(_SHOWN)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Put the ids of new words into the cache."""
+        plain, whole = [], []
+        for word in words:
+            fits = self.model and b"<|" not in word and (_ASCII.fullmatch(word) or _PLAIN.fullmatch(word.decode("utf-8")))
+            (plain if fits else whole).append(word)
+        # the pieces of all words, which line ends keep apart
+        parts = _PIECES.findall(b"\n".join(plain).decode("utf-8").lower()) if plain else []
+        known = self.pieces
+        for piece in known.missing(set(parts) - {"\n"}):
+            known[piece] = self._merged(piece)
+        ids, at = [], 0
+        for piece in parts:
+            if piece == "\n":
+                self.words[plain[at]] = b"".join(ids)
+                ids, at = [], at + 1
+            else:
+                ids.append(known[piece])
+        if plain:
+            self.words[plain[at]] = b"".join(ids)
+        for at in range(0, len(whole), 10_000):
+            some = whole[at : at + 10_000]
+            made = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in some], add_special_tokens=False)
+            self.words.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, made))
+
+    def _words(self, text: str | None) -> list[bytes]:
+        if not text:
+            return []
+        # case and special tokens need a look only where a text has more than ASCII or a special token
+        return (text.lower() if self.model and text.isascii() and "<|" not in text else text).encode("utf-8").split()
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        split = [t.encode("utf-8").split() if t else [] for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        new = list({w for words in split for w in words if w not in self.known})
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, encoded))
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        split = list(map(self._words, texts))
+        self._learn(self.words.missing({w for words in split for w in words}))
+        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+
+
+def _splits_plainly(path: str) -> bool:
+    """Whether a tokenizer lower-cases and splits as ``_PIECES`` does."""
+    with open(path, encoding="utf-8") as file:
+        made = json.load(file)
+    normal = [n["type"] for n in (made.get("normalizer") or {}).get("normalizers", [])]
+    splits = [p for p in (made.get("pre_tokenizer") or {}).get("pretokenizers", []) if p["type"] == "Split"]
+    return normal == ["NFC", "Replace", "Lowercase"] and [p["pattern"].get("Regex") for p in splits] == [SPLIT] and splits[0]["behavior"] == "Removed" and splits[0]["invert"] and made["model"]["type"] == "BPE" and not made["model"].get("unk_token")
 
 
 @lru_cache(maxsize=4)
