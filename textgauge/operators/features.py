@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 from textgauge.functions.hashing import seeded_key
 from textgauge.functions.text import let, term_frequencies, words
 from textgauge.operators.ranking import StratifiedCuts
-from textgauge.session import once
+from textgauge.session import fits, materialise, once
 
 # Fixed value: a token has at least two word characters.
 MIN_TOKEN = 2
 
+#: Terms of a broadcast vocabulary: some 50 bytes each.
+BROADCAST_TERMS = 1_000_000
+
 SPLITS = ("test", "val", "train")
 
 
@@ -99,19 +102,33 @@ def tfidf(
 ) -> DataFrame:
     """(row id, term, weight): tf x idf, each row scaled to length 1.
 
-    The vocabulary side of the join is one row per term; adaptive execution
-    broadcasts it when its measured size allows and splits the partitions of
-    very common terms when it does not.
+    Texts are tokenised once: counts and weights are both made from the written
+    counts of terms. Null ids are rows of their own kind and share one length.
     """
-    tf = tf_table(df, id_col, text_col, n_max, lowercase, stop_words)
+    tf = materialise(tf_table(df, id_col, text_col, n_max, lowercase, stop_words), "terms")
     n_docs = df.select(F.count(F.lit(1))).scalar()
-    weighted = tf.join(vocabulary(tf, n_docs, min_df, max_features), "term").select(
+    weighted = join_terms(tf, materialise(vocabulary(tf, n_docs, min_df, max_features), "vocabulary")).select(
         id_col, "term", (F.col("tf") * F.col("idf")).alias("w")
     )
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
     return weighted.select(id_col, "term", (F.col("w") / length).alias("weight"))
 
 
+def join_terms(tf: DataFrame, terms: DataFrame, most: int = BROADCAST_TERMS) -> DataFrame:
+    """Rows of ``tf`` with what ``terms`` (one row a term, with ``df``) says of their term.
+
+    A small vocabulary is broadcast, so that nothing is shuffled. Of a larger
+    one only the terms with a thousandth of all rows or more are, which are
+    1000 at most; the others are joined by shuffle, and none of them is hot.
+    """
+    if fits(terms, most):
+        return tf.join(F.broadcast(terms), "term")
+    rows = terms.agg(F.sum("df").alias("n")).first()["n"]
+    hot = F.broadcast(terms.where(F.col("df") * 1000 >= rows))
+    rest = tf.join(hot.select("term"), "term", "left_anti").join(terms.hint("shuffle_merge"), "term")
+    return tf.join(hot, "term").unionByName(rest)
+
+
 def balanced_class_weights(df: DataFrame, label_col: str = "label") -> DataFrame:
     """(label, weight): n / (classes x class size)."""
     counts = df.groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgauge.operators import contracts, features, metrics, training
+from textgauge.operators import contracts, features, metrics, sharded, training
 from textgauge.operators.metrics import predict
 from textgauge.operators.training import Settings
 from textgauge.plans.classifier_run import classifier_run, run_summary
@@ -337,3 +337,12 @@ def saved_model(spark: SparkSession, sf: str) -> DataFrame:
     own = training.classify(model, documents(spark, sf).select("doc_id", "text")).withColumnRenamed("score", "own")
     both = training.classify(training.load_model(path), own.select("doc_id", "text", "own"))
     return both.select("doc_id", (F.col("score") == F.col("own")).alias("same"))
+
+
+@query("M4_term_table_scores", "SELECT doc_id, true AS consistent, true AS same FROM documents")
+def term_table_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of all documents by a model whose terms are a table, beside those of the pipeline."""
+    rows, docs = training_rows(spark, sf), documents(spark, sf).select("doc_id", "text")
+    by_table = consistent(sharded.classify(sharded.fit(rows, BALANCED), docs)).select("doc_id", "consistent", "score")
+    own = training.classify(training.fit(rows, BALANCED), docs).select("doc_id", F.col("score").alias("own"))
+    return by_table.join(own, "doc_id").select("doc_id", "consistent", (F.abs(F.col("score") - F.col("own")) < 1e-6).alias("same"))
