@@ -55,7 +55,7 @@ def pack(values: np.ndarray) -> bytes:
     return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def unpack(data: bytes) -> np.ndarray:
+def unpack(data: bytes | pa.Buffer) -> np.ndarray:
     planes = np.frombuffer(data, np.uint8).reshape(8, -1)
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=U64)
 
@@ -122,8 +122,8 @@ def _counted(texts: DataFrame, keys_of: Callable[[list], np.ndarray], hash_of: C
 
 
 def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    keys = [unpack(k) for k in table.column("keys").to_pylist()]
-    planes = [np.frombuffer(c, np.uint8).reshape(8, -1) for c in table.column("counts").to_pylist()]
+    keys = [unpack(k.as_buffer()) for k in table.column("keys")]
+    planes = [np.frombuffer(c.as_buffer(), np.uint8).reshape(8, -1) for c in table.column("counts")]
     return summed(keys, [np.ascontiguousarray(p.T).view("<u8").ravel().astype(np.int64) for p in planes])
 
 
@@ -148,8 +148,8 @@ class Model(NamedTuple):
     block: int
 
 
-#: Ids of a block of context and continuation counts.
-BLOCK = 1 << 20
+#: Ids of a block of context and continuation counts; one task adds up a block's partial sums of all shards.
+BLOCK = 1 << 17
 
 
 class Lookup:
@@ -245,9 +245,10 @@ def _contexts(pairs: list, folder: str, distinct: int, width: int, spark: SparkS
         block = table.column("block")[0].as_py()
         size = min(width, distinct + 1 - block * width)
         out = np.zeros((5, size), np.int64)
-        for kind, keys, counts in zip(*(table.column(c).to_pylist() for c in ("kind", "keys", "counts"))):
-            planes = np.frombuffer(counts, np.uint8).reshape(8, -1)
-            out[kind, (unpack(keys) - U64(block * width)).astype(np.int64)] += np.ascontiguousarray(planes.T).view("<u8").ravel().astype(np.int64)
+        for kind, keys, counts in zip(*(table.column(c) for c in ("kind", "keys", "counts"))):
+            planes = np.frombuffer(counts.as_buffer(), np.uint8).reshape(8, -1)
+            at = (unpack(keys.as_buffer()) - U64(block * width)).astype(np.int64)
+            out[kind.as_py(), at] += np.ascontiguousarray(planes.T).view("<u8").ravel().astype(np.int64)
         name = f"block-{block}-{uuid.uuid4().hex}"
         out.tofile(f"{folder}/{name}")
         before = out[4]
@@ -318,11 +319,12 @@ class Scorer:
     def _of_ids(self, ids: np.ndarray) -> np.ndarray:
         """The five numbers of each id; zeros where it is -1."""
         out = np.zeros((5, len(ids)), np.int64)
-        block = ids // self.model.block
-        for k, numbers in enumerate(self.blocks):
-            own = np.flatnonzero(block == k) if len(self.blocks) > 1 else np.flatnonzero(ids >= 0)
-            if len(own):
-                out[:, own] = numbers[:, ids[own] - k * self.model.block]
+        block = ids // self.model.block  # -1 where there is no id
+        order = np.argsort(block, kind="stable")
+        held, starts = np.unique(block[order], return_index=True)
+        for k, own in zip(held.tolist(), np.split(order, starts[1:])):
+            if k >= 0:
+                out[:, own] = self.blocks[k][:, ids[own] - k * self.model.block]
         return out
 
     def __call__(self, texts: list) -> list[tuple[int, int, float, float]]:
