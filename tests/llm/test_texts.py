@@ -104,6 +104,61 @@ def test_values_choose_among_marked_articles():
     assert text.startswith("Here, in short")
 
 
+def test_words_and_pieces_against_the_library():
+    """Caches that forget all the time, letters of all kinds, special tokens in any case."""
+    by, plain = bpe.WordEncoder(PATH), bpe.tokenizer(PATH)
+    by.words.size = by.pieces.size = 50
+    rnd = random.Random(3)
+    letters = [chr(c) for c in range(1, 0x180)] + list("aAbBsStTrReEmMlLdDvV''0129 ") * 5
+    letters += ["İ", "ǰ", "J̌", "é", "<|endoftext|>", "<|STARTOFTEXT|>", "<|", "漢", "😀", " ", "\x85", "½", "²", "ẞ"]
+    texts = ["".join(rnd.choices(letters if k % 2 else letters[:127], k=rnd.randint(0, 40))) for k in range(4000)]
+    found = [ids for at in range(0, len(texts), 50) for ids in by(texts[at : at + 50])]
+    expected = plain.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [e.ids for e in expected]
+
+
+PROSE = "One sentence, with a comma. " * 11
+MARKED = f"<article><h1>T</h1><p>{PROSE}</p><p>{PROSE}</p></article>"
+WANTED = "\n\n".join(["T", PROSE.strip(), PROSE.strip()])
+BARE = MARKED.removeprefix("<article>").removesuffix("</article>")
+MENU = '<nav><a href="/">Home</a>, <a href="/b">more</a></nav>'
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'{MENU}<div class="overflow-hidden">{MARKED}</div>',
+        f'<article style="overflow: hidden">{BARE}</article>',
+        f'<article aria-hidden="false" data-x="a > hidden">{BARE}</article>',
+        f'<div class="layout has-sidebar">{MARKED}</div>',
+        f'<div id="page" class="no-sidebar">{MARKED}</div>',
+        f'<div id="search-results-explained">{MARKED}</div>',
+        f'<form id="whole">{MENU}{MARKED}<footer>c, all rights reserved.</footer></form>',
+        f'<div class="sidebar-layout">{MENU}{MARKED}<div class="sidebar"><p>Other, text. More.</p></div></div>',
+        f'<article><div class="content with-sidebar">{BARE}</div><div class="share">Share, this.</div></article>',
+        f'<article><div class="post-header-and-body">{BARE}</div><div class="share">Share, this.</div></article>',
+        f'{MARKED}<div class="comments"><article class="comment"><p>{PROSE * 9}</p></article></div>',
+        f'<article>{BARE}<section id="comments"><p>{PROSE * 9}</p></section></article>',
+        f'<article>{BARE}<p hidden>no, no.</p><p style="color:red;display: none">no, no.</p></article>',
+        f'<div class="a"><a href="1">A</a><a href="2">B</a></div><div class="b">{BARE}</div><div class="c"><a href="3">Read more</a></div>',
+        f'<div class="sidebar"><div class="b">{BARE}</div></div>',
+        f'<div role="search"><input></div><div class="x">{BARE}</div><div id="commentform">Say, it.</div><div class="commentList replies">{PROSE}</div>',
+    ],
+)
+def test_words_do_not_hide_the_article(page):
+    assert html_text.main_text(f"<html><body>{page}</body></html>") == WANTED
+
+
+def test_articles_of_like_value_belong_together():
+    parts = [f"<article><p>{PROSE}{k}</p></article>" for k in range(3)]
+    teaser = '<article class="card"><a href="1">Read</a> this.</article>'
+    assert html_text.main_text("".join(parts) + teaser) == "\n\n".join(f"{PROSE}{k}" for k in range(3))
+
+
+def test_formulas_stay_in_their_sentence():
+    assert html_text.main_text("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be, so.</p></article>") == "Let x=2 be, so."
+
+
 def test_long_pages_take_linear_time():
     for part in ("<p>", "<div>", "<b", '<a href="', "&amp;", "<!--", "x ", "<li>y", "</div>"):
         html_text.main_text("<article>" + part * 40_000)

@@ -4,12 +4,20 @@ Method: a page is cut into blocks of text, each with its root-to-leaf path of
 block tags (with classes). Per path, text length and punctuation are added up
 over its blocks: their means are the path's ratios. The series of text ratios
 in page order is smoothed, and the three are fused into one value per path.
+
 The values choose the content's root, and all blocks in it stay but those of
 paths that hold links only: of the elements that the page marks as articles
-(``article``, ``main``), the one with the largest sum of values; without one,
-the innermost container of all paths at a share or more of the best. Elements
-that are no article by their tag, class, id or role (menus, headers, footers,
-sidebars, notices, adverts, forms, comments) are left out before that.
+(``article``, ``main``), those with a share of the largest sum of values;
+without one, the innermost container of all paths at a share or more of the
+best.
+
+Elements whose tag, class, id or role says that they are no article (menus,
+headers, footers, sidebars, notices, adverts, forms, comments) are left out,
+unless the page says otherwise: such a word counts for nothing on an element
+that contains a marked article, and a class, an id or a form counts for nothing
+where the values put more than half of the article, or of a page without one,
+inside. Reader comments are left out whatever their length. Hidden elements are
+left out.
 
 Every page is parsed whole, in one pass, in Arrow batches; nothing is shuffled.
 
@@ -34,11 +42,13 @@ from textgauge.llm.common import bounded_batches
 
 #: Share of the best path's value from which a path has a say in where the content's root is.
 SHARE = 0.2
+#: Share of the best article's sum of values from which another marked article is content too.
+ARTICLE_SHARE = 0.5
 
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img input".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img input math mi mn mo ms mtext mrow msup msub mfrac msqrt semantics annotation".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title svg math object select button canvas audio video".split())
-BOILERPLATE = frozenset("head nav footer aside form menu dialog".split())
+RAW = frozenset("script style noscript template iframe textarea title svg object select button canvas audio video".split())
+BOILERPLATE = frozenset("head nav footer aside menu dialog".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ARTICLES = frozenset("article main".split())
 #: Parts of a content, never its root.
@@ -53,6 +63,12 @@ HINTS = frozenset(
     "comment comments disqus reply replies respond responses discussion "
     "share sharing social follow form search contentinfo".split()
 )
+#: Reader comments, which values do not bring back.
+COMMENTS = frozenset("comment comments disqus reply replies respond responses discussion".split())
+#: A class that begins so speaks of something else on the page.
+ABOUT = frozenset("has no not with without is".split())
+#: What speaks against an element: a word or form, comments, its tag.
+WORD, COMMENT, TAG = 1, 2, 3
 #: An open element of the key is closed by a start tag of the values.
 CLOSED_BY = {
     "p": frozenset(
@@ -75,9 +91,9 @@ _NAME = re.compile(r"/?([A-Za-z][^\s/>]*)")
 _OPENS = re.compile(r"""=\s*(["'])""")
 #: An attribute's value may hold ">" if it is no longer than this.
 _LONG_VALUE = 4096
-_MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
 _CLASS = re.compile(r"""\bclass\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b|display\s*:\s*none""", re.I)
+_NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 _PARTS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _END = {tag: re.compile(rf"</{tag}\b[^>]*>?", re.I) for tag in RAW}
@@ -85,15 +101,41 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：]")
 
 
 class Block:
-    __slots__ = ("text", "path", "heading", "linked", "article")
+    __slots__ = ("text", "path", "heading", "linked", "article", "doubt")
+
+    def __init__(self, text: str, path: int, heading: bool, linked: int, article: int | None, doubt: int | None):
+        self.text, self.path, self.heading, self.linked, self.article, self.doubt = text, path, heading, linked, article, doubt
+
+
+class Doubt:
+    """An element that may be no part of the article, and what it contains."""
+
+    __slots__ = ("kind", "above", "article", "articles", "mains")
+
+    def __init__(self, kind: int, above: int | None, article: int | None):
+        self.kind, self.above, self.article, self.articles, self.mains = kind, above, article, 0, 0
 
-    def __init__(self, text: str, path: int, heading: bool, linked: int, article: int | None):
-        self.text, self.path, self.heading, self.linked, self.article = text, path, heading, linked, article
 
+def attributes_of(raw: str) -> dict[str, str]:
+    return {m[1].lower(): (m[2] or "").strip("\"'") for m in _ATTRIBUTE.finditer(raw)}
 
-def hinted(attributes: str) -> bool:
-    """Whether class, id or role name something that is no article."""
-    return any(w in HINTS for m in _MARK.finditer(attributes) for w in _PARTS.findall(_CAMEL.sub("-", m[1]).lower()))
+
+def hint(attributes: dict[str, str]) -> int:
+    """What class, id or role say against an element: 0 for nothing."""
+    names = [*attributes.get("class", "").split(), attributes.get("id", ""), attributes.get("role", "")]
+    found = 0
+    for name in names:
+        parts = _PARTS.findall(_CAMEL.sub("-", name).lower())
+        if parts and parts[0] not in ABOUT:
+            if not COMMENTS.isdisjoint(parts):
+                return COMMENT
+            if not HINTS.isdisjoint(parts):
+                found = WORD
+    return found
+
+
+def hidden(attributes: dict[str, str]) -> bool:
+    return "hidden" in attributes or bool(_NOT_SHOWN.search(attributes.get("style", "")))
 
 
 class _Walk:
@@ -101,7 +143,8 @@ class _Walk:
 
     def __init__(self):
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, int, bool, int | None]] = []  # tag, path, excluded, article
+        self.open: list[tuple[str, int, bool, int | None, int | None]] = []  # tag, path, hidden, article, doubt
+        self.doubts: list[Doubt] = []
         self.count: Counter[str] = Counter()
         self.paths: dict[tuple[int, str], int] = {}
         self.parts: list[str] = []
@@ -119,8 +162,8 @@ class _Walk:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                tag, path, _, article = self.open[-1] if self.open else ("", 0, False, None)
-                self.blocks.append(Block(text, path, tag in HEADINGS, self.linked, article))
+                tag, path, _, article, doubt = self.open[-1] if self.open else ("", 0, False, None, None)
+                self.blocks.append(Block(text, path, tag in HEADINGS, self.linked, article, doubt))
             self.parts, self.linked = [], 0
 
     def pop(self, to: int) -> None:
@@ -136,7 +179,8 @@ class _Walk:
             self.parts.append(" ")
         if tag == "a":
             self.link_depth = len(self.open)
-        if tag in INLINE and (tag in VOID or not hinted(attributes)):
+        named = attributes_of(attributes) if attributes and not attributes.isspace() and tag not in VOID else {}
+        if tag in INLINE and (tag in VOID or not named or not (hint(named) or hidden(named))):
             return
         self.flush()
         if any(self.count[name] for name in CLOSES.get(tag, ())):
@@ -149,20 +193,33 @@ class _Walk:
                     break
         if tag in VOID:
             return
-        _, above, excluded, article = self.open[-1] if self.open else ("", 0, False, None)
+        _, above, unseen, article, doubt = self.open[-1] if self.open else ("", 0, False, None, None)
         inside = article is not None
-        excluded = excluded or tag in BOILERPLATE or (tag == "header" and not inside)
-        if not excluded and attributes:
-            named = tag not in ("html", "body") and tag not in HEADINGS and (tag not in ARTICLES or inside)
-            excluded = bool(_HIDDEN.search(attributes)) or (named and hinted(attributes))
-        if tag in ARTICLES and not excluded and not inside:
+        unseen = unseen or bool(named) and hidden(named)
+        kind = TAG if tag in BOILERPLATE or (tag == "header" and not inside) else WORD if tag == "form" else 0
+        if not kind and named and tag not in ("html", "body") and tag not in HEADINGS and (tag not in ARTICLES or inside):
+            kind = hint(named)
+        if kind and not unseen:
+            self.doubts.append(Doubt(kind, doubt, article))
+            doubt = len(self.doubts) - 1
+        if tag in ARTICLES and not unseen and not inside and (tag == "main" or not self.commenting(doubt)):
             self.articles += 1
             article = self.articles
+            at = doubt
+            while at is not None:
+                self.doubts[at].articles += 1
+                self.doubts[at].mains += tag == "main"
+                at = self.doubts[at].above
         name = _CLASS.search(attributes) if attributes else None
         label = f"{tag}.{name[1].strip(chr(34) + chr(39))}" if name else tag
-        self.open.append((tag, self.paths.setdefault((above, label), len(self.paths) + 1), excluded, article))
+        self.open.append((tag, self.paths.setdefault((above, label), len(self.paths) + 1), unseen, article, doubt))
         self.count[tag] += 1
 
+    def commenting(self, doubt: int | None) -> bool:
+        while doubt is not None and self.doubts[doubt].kind != COMMENT:
+            doubt = self.doubts[doubt].above
+        return doubt is not None
+
     def end(self, tag: str) -> None:
         if tag == "a":
             self.link_depth = None
@@ -251,11 +308,33 @@ def path_values(found: list[Block]) -> dict[int, float]:
     return {p: (ratio[p] * smooth[p]) ** 0.5 * (1 + points[p] / count[p]) ** 0.5 for p in ratio}
 
 
-def _in_root(walk: _Walk) -> set[int]:
+def _undoubted(walk: _Walk) -> list[Block]:
+    """The blocks outside of elements that are rightly taken for no part of the article."""
+    if not walk.doubts:
+        return walk.blocks
+    value, whole = path_values(walk.blocks), Counter()
+    inside = [0.0] * len(walk.doubts)
+    for b in walk.blocks:
+        whole[b.article] += value[b.path]
+        if b.doubt is not None:
+            inside[b.doubt] += value[b.path]
+    page = sum(whole.values())
+    for k in range(len(inside) - 1, -1, -1):  # an element comes after the one around it
+        if (above := walk.doubts[k].above) is not None:
+            inside[above] += inside[k]
+    left_out = []
+    for k, d in enumerate(walk.doubts):
+        most = inside[k] > (whole[d.article] if d.article is not None else page) / 2
+        right = d.mains > 0 if d.kind == COMMENT else d.articles > 0 or (d.kind == WORD and most)
+        left_out.append(not right or (d.above is not None and left_out[d.above]))
+    return [b for b in walk.blocks if b.doubt is None or not left_out[b.doubt]]
+
+
+def _in_root(walk: _Walk, found: list[Block]) -> set[int]:
     """The paths in the innermost container of all paths with a share of the best value."""
     above = {path: key[0] for key, path in walk.paths.items()}
     tags = {path: key[1].split(".", 1)[0] for key, path in walk.paths.items()}
-    value = path_values(walk.blocks)
+    value = path_values(found)
     least = SHARE * max(value.values(), default=0.0)
     root: int | None = None
     for path, v in value.items():
@@ -288,17 +367,17 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     walk = walked(html)
-    found, sizes = walk.blocks, Counter()
+    found, sizes = _undoubted(walk), Counter()
     value = path_values(found)
     for b in found:
         if b.article is not None:
             sizes[b.article] += value[b.path]
     if sizes:
-        best = max(sizes, key=lambda k: (sizes[k], -k))
-        found = [b for b in found if b.article == best]
+        least = ARTICLE_SHARE * max(sizes.values())
+        found = [b for b in found if b.article is not None and sizes[b.article] >= least]
         value, inside = path_values(found), {b.path for b in found}
     else:
-        inside = _in_root(walk)
+        inside = _in_root(walk, found)
     kept, below = [], False
     for b in reversed(found):
         own = value[b.path] > 0 and b.path in inside
