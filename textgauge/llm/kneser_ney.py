@@ -43,7 +43,7 @@ END, BEGIN = xxhash.xxh64_intdigest(b"\n"), xxhash.xxh64_intdigest(b" ")
 ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Entries of a shard, about; and entries that a task adds up before it sends them.
 SHARD_ENTRIES = 2_000_000
-HELD_ENTRIES = 3_000_000
+HELD_ENTRIES = 1_500_000
 BATCH_ROWS = 1000
 PACKED = "shard int, keys binary, counts binary"
 U64 = np.uint64
