@@ -15,10 +15,20 @@ from textgauge.workload.registry import documents, labelled, placed, query
 @query("S1_csv_texts", "SELECT doc_id, lang, text FROM documents")
 def csv_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Documents through CSV; the absent column asked for is left out."""
+    return through_csv(spark, sf, None)
+
+
+@query("S1_csv_in_ranges", "SELECT doc_id, lang, text FROM documents")
+def csv_in_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, each file read as large ones are."""
+    return through_csv(spark, sf, True)
+
+
+def through_csv(spark: SparkSession, sf: str, ranged: bool | None) -> DataFrame:
     path = scratch_path(spark, "texts")
     documents(spark, sf).select("doc_id", "lang", "text").write.options(header=True, quote='"', escape='"').csv(path)
-    back = texts.read_csv_texts(spark, path, "text", "doc_id", "lang", schema="doc_id bigint, lang string, text string")
-    return back.select("doc_id", "lang", "text")
+    schema = "doc_id bigint, lang string, text string"
+    return texts.read_csv_texts(spark, path, "text", "doc_id", "lang", schema=schema, ranged=ranged).select("doc_id", "lang", "text")
 
 
 @query("S2_topic_csv", "SELECT p_name AS topic, p_type AS domain, CASE WHEN p_brand = 'Brand#1' THEN '' ELSE p_brand END "
@@ -49,6 +59,18 @@ def column_json(spark: SparkSession, sf: str) -> DataFrame:
     return texts.pair_columns(parallel)
 
 
+@query("S3_columns_in_ranges", "SELECT text, CAST(quality AS BIGINT) AS label FROM documents JOIN labels USING (doc_id)")
+def columns_in_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of one object each, with the arrays of at most 4096 rows, cut by commas."""
+    path = scratch_path(spark, "columns")
+    blocks = labelled(spark, sf).groupBy((F.col("doc_id") / 4096).cast("bigint").alias("block")).agg(
+        F.collect_list(F.struct("text", "label")).alias("rows")
+    )
+    arrays = blocks.select("block", F.lit("of, [all]").alias("made"), F.col("rows.text").alias("text"), F.col("rows.label").alias("label"))
+    arrays.write.partitionBy("block").json(path)
+    return texts.read_column_json(spark, path, ranged=True)
+
+
 @query("S4_jsonl_texts", "SELECT text, CAST(toxic AS BIGINT) AS label FROM documents JOIN labels USING (doc_id)")
 def jsonl_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Lines with a prompt instead of a text; blank lines are skipped."""
@@ -75,6 +97,17 @@ def prompt_batches(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("S5_batches_in_ranges", "SELECT text AS prompt, role AS topic FROM conversations")
+def batches_in_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of one batch each, with the turns of 1024 conversation numbers, cut by commas."""
+    path = scratch_path(spark, "batches")
+    turns = table(spark, sf, "conversations").groupBy((F.col("conv_id") / 1024).cast("bigint").alias("block")).agg(
+        F.collect_list(F.struct(F.col("text").alias("prompt"), F.col("role").alias("topic"))).alias("items")
+    )
+    turns.select("block", F.to_json("items").alias("value")).write.partitionBy("block").text(path)
+    return prompts.read_prompts(spark, path, ranged=True).select("prompt", "topic")
+
+
 @query(
     "S6_lexicon_documents",
     "SELECT p_partkey, term, category, CAST(weight AS DOUBLE) AS weight, pos FROM ("
