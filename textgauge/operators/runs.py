@@ -100,29 +100,21 @@ def report_paths(
     """(run, report, path): the step's artifact with the suffix, else the file
     of that name in the run's own folder.
 
-    The first step of the name counts, and its first matching artifact. Paths
+    All reports of a run are found in one row, which alone is shuffled. The
+    first step of the name counts, and its first matching artifact. Paths
     are absolute, in the form the readers give; relative artifacts lie below
     ``root``.
     """
-    wanted = F.array(
-        *[
-            F.struct(F.lit(r).alias("report"), F.lit(step).alias("_step"), F.lit(suffix).alias("_suffix"))
-            for r, (step, suffix) in reports.items()
-        ]
-    )
-    candidates = artifacts.select(run_col, base_dir_col, "step_no", "step", "artifact_no", "path", F.inline(wanted))
-    named = F.col("step") == F.col("_step")
-    matches = named & F.endswith("path", F.col("_suffix"))
-    found = F.when(F.col("found.step_no") == F.col("first"), F.col("found.path"))
-    return (
-        candidates.groupBy(run_col, "report", "_suffix")
-        .agg(
-            F.min(F.when(matches, F.struct("step_no", "artifact_no", "path"))).alias("found"),
-            F.min(F.when(named, F.col("step_no"))).alias("first"),
-            F.min(base_dir_col).alias("base_dir"),
-        )
-        .select(run_col, "report", uri(F.coalesce(found, F.concat_ws("/", "base_dir", "_suffix")), root).alias("path"))
-    )
+    aggregates, rows = [F.min(base_dir_col).alias("base_dir")], []
+    for k, (report, (step, suffix)) in enumerate(reports.items()):
+        named = F.col("step") == step
+        matches = named & F.endswith("path", F.lit(suffix))
+        aggregates.append(F.min(F.when(matches, F.struct("step_no", "artifact_no", "path"))).alias(f"found_{k}"))
+        aggregates.append(F.min(F.when(named, F.col("step_no"))).alias(f"first_{k}"))
+        found = F.when(F.col(f"found_{k}.step_no") == F.col(f"first_{k}"), F.col(f"found_{k}.path"))
+        rows.append(F.struct(F.lit(report).alias("report"), F.coalesce(found, F.concat_ws("/", "base_dir", F.lit(suffix))).alias("path")))
+    per_run = artifacts.select(run_col, base_dir_col, "step_no", "step", "artifact_no", "path").groupBy(run_col).agg(*aggregates)
+    return per_run.select(run_col, F.inline(F.array(*rows))).select(run_col, "report", uri(F.col("path"), root).alias("path"))
 
 
 def attach_reports(paths: DataFrame, reports: DataFrame, path_col: str = "path") -> DataFrame:
