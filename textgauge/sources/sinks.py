@@ -32,9 +32,9 @@ def write_flagged_csv(
     flagged.write.mode(mode).options(header=True, quote='"', escape='"').csv(path)
 
 
-def write_scored_prompts(scored: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Scored prompts as JSONL, rubric and advice nested."""
-    scored.write.mode(mode).json(path)
+def write_scored_prompts(scored: DataFrame, path: str, mode: str = "errorifexists", compression: str | None = None) -> None:
+    """Scored prompts as JSONL, rubric and advice nested; ``compression`` is a codec Spark knows, such as gzip."""
+    scored.write.mode(mode).json(path, compression=compression)
 
 
 def append_run(summary: DataFrame, path: str) -> None:

@@ -377,7 +377,7 @@ def plain_prompt_file(spark: SparkSession, sf: str) -> DataFrame:
 def scored_prompt_file(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "scored")
     scored = scored_mixed(spark, sf)
-    sinks.write_scored_prompts(scored, path)
+    sinks.write_scored_prompts(scored, path, compression="gzip")  # records repeat their advice
     back = spark.read.schema(scored.schema).json(path)
     return back.select(
         "p_partkey", "prompt", "score", "grade", "rubric.structure", F.array_join("recommendations", "|").alias("advice")
