@@ -247,3 +247,34 @@ def test_scores_from_hit_table_equal_scores_in_rows(spark):
     by_join = scoring.score_hits(df, hits, "id", **options).orderBy("id").collect()
     in_rows = scoring.score_rows(df, lexicon, allowlist=["she"], **options).orderBy("id").collect()
     assert by_join == in_rows
+
+
+def test_a_lexicon_beyond_one_automaton_does_not_read_the_texts_again(spark, monkeypatch):
+    """Terms of a large lexicon meet the texts by shuffle; only what has no strings of its own goes to automata."""
+    texts = EDGE_TEXTS + random_texts(40, seed=3) + [None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    parts = []
+    monkeypatch.setattr(automaton, "_matcher", None)
+    real = automaton._parts
+    monkeypatch.setattr(automaton, "_parts", lambda *a: (parts.append(p) or p for p in real(*a)))
+    terms = [*TERMS, (" he", "lead", 1.0), ("e he", "ends", 1.0), ("++", "mark", 1.0), ("he, he", "long", 1.0)]
+    lexicon = spark.createDataFrame(terms, "term string, category string, weight double")
+    counts = automaton.term_counts(df, lexicon, "id", part_chars=10).collect()
+    hits = automaton.term_hits(df, lexicon, "id", part_chars=10).collect()
+    assert not parts
+    expected = [(i, *hit) for i, text in enumerate(texts) for hit in python_hits(text or "", terms)]
+    assert sorted((r.id, r.term, r.start, r.end, r.context) for r in hits) == sorted(expected)
+    by_term = {}
+    for i, term, *_ in expected:
+        by_term[i, term] = by_term.get((i, term), 0) + 1
+    assert {(r.id, r.term): r.n for r in counts} == by_term
+
+
+def test_terms_without_strings_of_their_own_are_found_too(spark):
+    texts = ["a  b   c - d", "  ", "one two " * 12, " ".join("abcdefghijkl") + " m"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    terms = [("  ", "blanks", 1.0), (" - ", "dash", 1.0), ("e two " * 9 + "on", "none", 1.0), (" ".join("abcdefghijkl"), "many", 1.0), ("b", "word", 1.0)]
+    lexicon = spark.createDataFrame(terms, "term string, category string, weight double")
+    found = {(r.id, r.term, r.start) for r in automaton.term_hits(df, lexicon, "id", part_chars=10).collect()}
+    assert found == {(i, term, start) for i, text in enumerate(texts) for term, start, *_ in python_hits(text, terms)}
+    assert {term for _, term, _ in found} == {"  ", " - ", " ".join("abcdefghijkl"), "b"}
