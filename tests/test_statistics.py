@@ -179,3 +179,31 @@ def test_folds_are_even_and_independent_of_layout(spark):
         assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
 
 
+
+
+def test_few_features_are_counted_without_writing_all_terms(spark, monkeypatch):
+    """Terms that are frequent in too few texts make room for others; rare terms are not written."""
+    rnd = random.Random(4)
+    texts = [" ".join(rnd.choice(["aa", "bb", "cc", "dd", "ee", "ff"]) for _ in range(rnd.randint(0, 12))) for _ in range(40)]
+    texts += [f"w{k}w " * (100 + k) + f"x{k}x" for k in range(30)] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    written, real = {}, features.materialise
+
+    def kept_table(rows, label):
+        written[label] = real(rows, label)
+        return written[label]
+
+    monkeypatch.setattr(features, "materialise", kept_table)
+    for n_max in (1, 2):
+        written.clear()
+        found = features.tfidf(df, "id", n_max=n_max, min_df=3, max_features=4).collect()
+        full = features.tf_table(df, "id", n_max=n_max)
+        kept = {r.term for r in features.vocabulary(full, F.lit(len(texts)), 3, 4).collect()}
+        assert len(kept) == 4 and not any(t.startswith("w") for t in kept)
+        assert written["terms"].select("term").distinct().count() < full.select("term").distinct().count()
+        tf = {(r.id, r.term): r.tf for r in full.collect() if r.term in kept}
+        df_of = {t: sum(1 for _, u in tf if u == t) for t in kept}
+        w = {k: n * (math.log((1 + len(texts)) / (1 + df_of[k[1]])) + 1) for k, n in tf.items()}
+        length = {i: math.sqrt(sum(v * v for (j, _), v in w.items() if j == i)) for i, _ in w}
+        assert {(r.id, r.term) for r in found} == set(w)
+        assert all(abs(r.weight - w[r.id, r.term] / length[r.id]) < 1e-12 for r in found)

@@ -19,6 +19,9 @@ MIN_TOKEN = 2
 #: Terms of a broadcast vocabulary: some 50 bytes each.
 BROADCAST_TERMS = 1_000_000
 
+#: Terms of which a row's own are picked out by a literal set.
+FEW_TERMS = 16_000
+
 SPLITS = ("test", "val", "train")
 
 
@@ -54,7 +57,7 @@ def ngrams(token_list: Column, n_max: int) -> Column:
 
 
 def run_texts(toks: Column, starts: Column, n: int) -> Column:
-    return F.transform(starts, lambda i: F.concat_ws(" ", F.slice(toks, i + 1, F.lit(n))))
+    return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(toks, i + k) for k in range(n)]))
 
 
 def tf_table(
@@ -64,9 +67,12 @@ def tf_table(
     n_max: int = 1,
     lowercase: bool = True,
     stop_words: str | Sequence[str] | None = None,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
-    """(row id, term, tf) without a shuffle."""
+    """(row id, term, tf) without a shuffle; of ``only`` these terms, if given."""
     terms = ngrams(tokens(F.col(text_col), lowercase, stop_words), n_max)
+    if only is not None:
+        terms = F.filter(terms, lambda term: term.isin(list(only)))
     return once(df, _tf=term_frequencies(terms)).select(id_col, F.inline("_tf"))
 
 
@@ -85,6 +91,36 @@ def vocabulary(tf: DataFrame, n_docs: Column, min_df: int = 1, max_features: int
     return terms.select("term", "df", idf(n_docs, F.col("df")).alias("idf"))
 
 
+def frequent_tf(
+    df: DataFrame,
+    id_col: str,
+    text_col: str,
+    n_max: int,
+    min_df: int,
+    max_features: int,
+    lowercase: bool,
+    stop_words: str | Sequence[str] | None,
+) -> DataFrame | None:
+    """(row id, term, tf) of terms among which are the ``max_features`` most frequent ones of ``min_df`` texts.
+
+    Occurrences are counted over all terms, texts only for the most frequent
+    ones; if too few of these are in ``min_df`` texts, more are taken. None if
+    that takes more than ``FEW_TERMS``.
+    """
+    grams = ngrams(tokens(F.col(text_col), lowercase, stop_words), n_max)
+    counted = df.select(F.explode(grams).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("total"))
+    totals = materialise(counted.where(F.col("total") >= min_df), "totals")
+    most = 2 * max_features
+    while most <= FEW_TERMS:
+        chosen = [r["term"] for r in totals.orderBy(F.desc("total"), "term").limit(most).collect()]
+        tf = materialise(tf_table(df, id_col, text_col, n_max, lowercase, stop_words, chosen), "terms")
+        enough = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_df).count() >= max_features
+        if enough or len(chosen) < most:
+            return tf
+        most *= 2
+    return None
+
+
 def idf(n_docs: Column, df: Column) -> Column:
     """Smoothed inverse document frequency: ln((1 + n) / (1 + df)) + 1."""
     return F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + df)) + F.lit(1.0)
@@ -103,9 +139,15 @@ def tfidf(
     """(row id, term, weight): tf x idf, each row scaled to length 1.
 
     Texts are tokenised once: counts and weights are both made from the written
-    counts of terms. Null ids are rows of their own kind and share one length.
+    counts of terms. For a few ``max_features`` they are tokenised twice, but only
+    the counts of frequent terms are written. Null ids are rows of their own kind
+    and share one length.
     """
-    tf = materialise(tf_table(df, id_col, text_col, n_max, lowercase, stop_words), "terms")
+    tf = None
+    if 0 < 2 * max_features <= FEW_TERMS:
+        tf = frequent_tf(df, id_col, text_col, n_max, min_df, max_features, lowercase, stop_words)
+    if tf is None:
+        tf = materialise(tf_table(df, id_col, text_col, n_max, lowercase, stop_words), "terms")
     n_docs = df.select(F.count(F.lit(1))).scalar()
     weighted = join_terms(tf, materialise(vocabulary(tf, n_docs, min_df, max_features), "vocabulary")).select(
         id_col, "term", (F.col("tf") * F.col("idf")).alias("w")
