@@ -185,3 +185,24 @@ def test_near_copies_with_long_boilerplate_or_one_frequent_word(spark):
     by = {r["rk"]: r["id"] for r in rows}
     assert {r["id"]: by[r["first"]] for r in rows} == {k: k - 100 if k // 100 % 2 else k for k in texts}
     assert near_copies.passages([w.encode() for w in texts[200]])
+
+
+def test_parities_differ_in_no_more_bits_than_shingles():
+    rng = np.random.default_rng(3)
+    for shared, own in ((0, 40), (100, 9), (300, 0), (500, 200)):
+        both = rng.integers(0, 2**63, shared).astype(np.uint64)
+        a, b = (np.concatenate([both, rng.integers(0, 2**63, own).astype(np.uint64)]) for _ in range(2))
+        differing = np.unpackbits(np.frombuffer(near_copies.parities(a), np.uint8) ^ np.frombuffer(near_copies.parities(b), np.uint8)).sum()
+        assert differing <= 2 * own and (differing > 0) == (own > 0)
+
+
+def test_near_copies_of_one_text_make_few_pairs(monkeypatch, spark):
+    """160 texts with one word changed at one of eight places: alike if at the same one, 0.70 similar if not."""
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join([*words[: 7 * (i % 8) + 2], f"x{i}", *words[7 * (i % 8) + 3 :]]) for i in range(160)]
+    pairs, kept = [], near_copies._checked
+    monkeypatch.setattr(near_copies, "_checked", lambda found, *a: pairs.append(found.count()) or kept(found, *a))
+    rows = near_copies.near_copies(documents(spark, texts, [*range(160)])).collect()
+    keys = {r["rk"]: r["id"] for r in rows}
+    assert {r["id"]: keys[r["first"]] for r in rows} == {i: i % 8 for i in range(160)}
+    assert max(pairs) < 160 * 15
