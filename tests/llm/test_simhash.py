@@ -6,6 +6,7 @@ import numpy as np
 import xxhash
 
 from tests.llm.helpers import DOCS, Groups, documents, lower, split
+from textgauge.llm import components as components_module
 from textgauge.llm import near_copies, simhash
 from textgauge.llm.components import components
 
@@ -206,3 +207,25 @@ def test_near_copies_of_one_text_make_few_pairs(monkeypatch, spark):
     keys = {r["rk"]: r["id"] for r in rows}
     assert {r["id"]: keys[r["first"]] for r in rows} == {i: i % 8 for i in range(160)}
     assert max(pairs) < 160 * 15
+
+
+def test_a_task_of_near_copies_has_one_python_worker(monkeypatch, spark):
+    plans, kept = [], components_module.saved
+    for module in (near_copies, simhash, components_module):
+        monkeypatch.setattr(module, "saved", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan()) or kept(df))
+    rnd = random.Random(14)
+    text = [rnd.choice("abcdefgh") * rnd.randint(1, 9) + str(k) for k in range(80)]
+    near_copies.near_copies(documents(spark, [" ".join(text), " ".join([*text[:-1], "other"]), "a b c"])).collect()
+    python = 0
+    while plans:
+        node, above = plans.pop(), False
+        while True:  # down what one task runs without a shuffle
+            name, below = node.nodeName(), [node.children().apply(k) for k in range(node.children().size())]
+            assert not (above and name == "MapInArrow")
+            above = name == "MapInArrow" or above and name in ("Project", "Filter", "CollectMetrics")
+            python += name == "MapInArrow"
+            plans += below[1:]
+            if not below:
+                break
+            node = below[0]
+    assert python >= 4

@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -53,6 +54,18 @@ def test_documents_of_any_length(spark, library):
     assert bpe.decode(bpe.encode(spark.createDataFrame([], DOCS), PATH), PATH).count() == 0
 
 
+def test_workers_keep_no_words_after_a_task(spark):
+    docs = documents(spark, ["some words and others", "long " * 50] * 4).repartition(8)
+    assert bpe.encode(docs, PATH, long=60).count() == 8
+
+    def held(batches):
+        for batch in batches:
+            by = bpe.word_encoder(PATH)
+            yield pa.RecordBatch.from_arrays([pa.array([len(by.words) + len(by.words.old) + len(by.pieces) + len(by.pieces.old)])], names=["n"])
+
+    assert [r["n"] for r in spark.range(16).repartition(16).mapInArrow(held, "n long").collect() if r["n"]] == []
+
+
 def test_token_query(spark, library):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
     rows = QUERIES["op3_bpe"](spark, FOLDER).collect()

@@ -145,6 +145,13 @@ class WordEncoder:
         self._learn(self.words.missing({w for words in split for w in words}))
         return [b"".join(map(self.words.__getitem__, words)) for words in split]
 
+    def over(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """``batches``; at their end the caches are emptied, as the worker goes on to other steps with what it holds."""
+        try:
+            yield from batches
+        finally:
+            self.words, self.pieces = Recent(CACHED_WORDS), Recent(CACHED_PIECES)
+
 
 def _splits_plainly(path: str) -> bool:
     """Whether a tokenizer lower-cases and splits as ``_PIECES`` does."""
@@ -157,7 +164,7 @@ def _splits_plainly(path: str) -> bool:
 
 @lru_cache(maxsize=4)
 def word_encoder(path: str) -> WordEncoder:
-    """One per worker, so that its cache outlives a task."""
+    """One per worker; its caches last for a task."""
     return WordEncoder(path)
 
 
@@ -277,7 +284,7 @@ def _encode_long(docs: DataFrame, path: str, long: int) -> DataFrame:
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = word_encoder(path)
-        for batch in batches:
+        for batch in by.over(batches):
             texts = batch.column("text").to_pylist()
             heads, tails, whole = zip(*map(ends, texts)) if texts else ([], [], [])
             yield pa.RecordBatch.from_arrays(
@@ -309,7 +316,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = word_encoder(path)
-        for batch in batches:
+        for batch in by.over(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(by(batch.column(1).to_pylist()), pa.binary())], names=["id", "ids"])
 
     short = rows.where(~is_long).mapInArrow(encoded, f"id {kind}, ids binary")

@@ -41,7 +41,8 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[other], nodes[root[other]]
 
 
-def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's edges (a, b) as a forest."""
     held, size = [], 0
     for batch in batches:
         held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
@@ -84,9 +85,14 @@ def _kept(edges: DataFrame) -> tuple[DataFrame, tuple]:
     return made, (seen.get["n"], seen.get["sum"])
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node but the roots; a root is its component's smallest node."""
-    edges, mark = _kept(edges.select("a", "b").where("a <> b").mapInArrow(_contracted, "a long, b long"))
+def components(edges: DataFrame, forests: bool = False) -> DataFrame:
+    """(node, root) of every node but the roots; a root is its component's smallest node.
+
+    ``forests``: a task's edges are ``contracted`` already by the function that
+    makes them. Done here, that takes a second Python worker beside each of its own.
+    """
+    edges = edges.select("a", "b").where("a <> b")
+    edges, mark = _kept(edges if forests else edges.mapInArrow(contracted, "a long, b long"))
     while mark[0]:
         edges, now = _kept(_small_star(_large_star(edges)))
         forget(edges)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textgauge.llm.common import bounded_batches, join_hot, saved, words_of
-from textgauge.llm.components import components
+from textgauge.llm.components import components, contracted
 
 SEED = 42
 BITS = 3
@@ -216,7 +216,7 @@ def _split_further(rows: DataFrame, free: int, bits: int) -> DataFrame:
 
 
 def links(prints: DataFrame, bits: int = BITS, max_split: int = MAX_SPLIT) -> DataFrame:
-    """(a, b) between distinct fingerprints: a spanning forest of each split's links.
+    """(a, b) between distinct fingerprints: a spanning forest of each task's links.
 
     ``prints`` has one row per distinct ``fp``; 4 blocks find up to 3 differing bits.
     """
@@ -258,14 +258,14 @@ def links(prints: DataFrame, bits: int = BITS, max_split: int = MAX_SPLIT) -> Da
             yield found(np.ascontiguousarray(np.concatenate(held)))
 
     dealt = rows.select("key", "code", "fp").repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key").sortWithinPartitions("key")
-    return dealt.mapInArrow(searched, "a long, b long")
+    return dealt.mapInArrow(lambda batches: contracted(searched(batches)), "a long, b long")
 
 
 def classes(prints: DataFrame, bits: int = BITS) -> DataFrame:
     """(fp, n, component_id) per distinct fingerprint of ``prints`` (id, fp)."""
     distinct = saved(prints.groupBy("fp").agg(F.count("*").alias("n"), F.min("id").alias("first")))
     bounded_batches(prints.sparkSession, 10_000)
-    roots = components(links(distinct.select("fp"), bits))
+    roots = components(links(distinct.select("fp"), bits), forests=True)
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "n", "first", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     return rooted.join(named, "root").select("fp", "n", "component_id")
