@@ -229,3 +229,21 @@ def test_a_task_of_near_copies_has_one_python_worker(monkeypatch, spark):
                 break
             node = below[0]
     assert python >= 4
+
+
+def test_shingles_go_only_to_pairs_that_sketches_allow(monkeypatch, spark):
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 30, 31, 400, 3000):
+        whole = np.unique(rng.integers(0, 1 << 32, 2 * n + 8, dtype=np.uint32))
+        for a, b in ((whole[:n], whole[n // 9 : n + n // 9]), (whole[: n // 2], whole[:n]), (whole[:n], whole[n : 2 * n])):
+            x, y = (s.astype("<u4").tobytes() for s in (a, b))
+            assert near_copies.may_be_similar(near_copies.sketch(x), near_copies.sketch(y), 0.8) >= (near_copies.jaccard(x, y) >= 0.8)
+    assert not near_copies.may_be_similar(near_copies.sketch(x), near_copies.sketch(y), 0.8)
+    texts = [" ".join(f"{w}{k}" for k in range(200)) for w in "abcdefgh"]
+    docs = documents(spark, [*texts, texts[0] + " end"], [*range(9)])
+    keys = [r["rk"] for r in docs.select(near_copies.row_key("doc_id", "text").alias("rk")).orderBy("doc_id").collect()]
+    pairs = spark.createDataFrame([(keys[i], keys[j]) for i in range(9) for j in range(i)], "a long, b long")
+    seen, kept = [], near_copies._compared
+    monkeypatch.setattr(near_copies, "_compared", lambda found, *a: seen.append(found.count()) or kept(found, *a))
+    assert {frozenset(r) for r in near_copies._checked(pairs, docs, "doc_id", "text", 0.8).collect()} == {frozenset((keys[0], keys[8]))}
+    assert seen == [36, 1]
