@@ -6,7 +6,7 @@ import re
 import pytest
 
 from textgauge.functions.text import BLOCK
-from textgauge.operators import automaton, matching, scoring
+from textgauge.operators import automaton, lookup, matching, scoring
 from textgauge.operators.lexicon import CATEGORY_CAPS, Lexicon
 from textgauge.plans.bias_audit import bias_audit, write_bias_audit
 from textgauge.session import scratch_path
@@ -229,6 +229,20 @@ def test_table_hits_have_places_and_contexts(spark, part_chars, allowlist):
     assert all((r.category, r.weight) == weights[r.term] for r in hits if r.term in weights)
 
 
+def test_a_key_that_is_its_term_is_shuffled_once(spark, monkeypatch):
+    """What comes back to a text has a key of its own only for terms with capitals, and all are found."""
+    df = spark.createDataFrame([(1, "one Two two"), (2, "none"), (3, "TWO")], "id int, text string")
+    terms = spark.createDataFrame([("one", "x", 1.0), ("Two", "x", 1.0), ("two", "y", 2.0)], "term string, category string, weight double")
+    handed = []
+    monkeypatch.setattr(lookup.F, "collect_list", lambda c, made=lookup.F.collect_list: handed.append(c) or made(c))
+    hits = automaton.term_hits(df, terms, "id", part_chars=5).collect()
+    assert sorted((r.id, r.term, r.category, r.start) for r in hits) == sorted(
+        [(1, "one", "x", 0), *[(i, t, c, s) for i, s in ((1, 4), (1, 8), (3, 0)) for t, c in (("Two", "x"), ("two", "y"))]]
+    )
+    entries = spark.createDataFrame([("two", "two", "y", 2.0), ("two", "Two", "x", 1.0)], "key string, term string, category string, weight double")
+    assert [r[0].key for r in entries.select(handed[0]).collect()] == [None, "two"]
+
+
 def test_table_hits_of_an_empty_lexicon_and_many_in_one_text(spark, monkeypatch):
     df = spark.createDataFrame([(1, "ab " * 30_000), (2, "")], "id int, text string")
     none = spark.createDataFrame([], "term string, category string, weight double")
